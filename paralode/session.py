@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,6 +37,24 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     context.setCheckpointDir(named or tempfile.mkdtemp(prefix="paralode-checkpoint-"))
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Make this package importable for Python workers that do not have it on their path already."""
+    root = Path(__file__).resolve().parent
+    context = spark.sparkContext
+    on_path = {os.path.abspath(p) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p}
+    if str(root.parent) in on_path or context.applicationId in _SHIPPED:
+        return
+    bundle = Path(tempfile.mkdtemp(prefix="paralode-code-")) / "paralode.zip"
+    with zipfile.ZipFile(bundle, "w") as z:
+        for source in sorted(root.rglob("*.py")):
+            z.write(source, source.relative_to(root.parent))
+    context.addPyFile(str(bundle))
+    _SHIPPED.add(context.applicationId)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint in the shared folder."""
     ensure_checkpoint_dir(df.sparkSession)
