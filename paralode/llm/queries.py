@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paralode.llm import canonical, cube, packing, repetition, splits
+from paralode.llm import canonical, cube, mojibake, overlap, packing, repetition, splits
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -52,6 +52,35 @@ def p3_sample(spark: SparkSession, d: str) -> DataFrame:
     return cube.proportional_sample(_t(spark, d, "zh_en"), _t(spark, d, "sample_targets"))["sample"]
 
 
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    """Pairs of a training record and a held-out record with the same or nearly the same source text."""
+    return overlap.overlap_pairs(overlap.split_overlaps(_t(spark, d, "sft_records"))).select("record_id_a", "record_id_b")
+
+
+def p4_report(spark: SparkSession, d: str) -> DataFrame:
+    """Overlapping held-out records per split and source file."""
+    records = _t(spark, d, "sft_records")
+    return overlap.overlap_report(records, overlap.split_overlaps(records))
+
+
+def _damaged(spark: SparkSession, d: str) -> DataFrame:
+    pool, merged = _t(spark, d, "zh_en_pool"), _t(spark, d, "zh_th_merged")
+    dictionaries = mojibake.language_dictionaries([(pool, "zh_text", "zh"), (pool, "en_text", "en"), (merged, "th_text", "th")])
+    return mojibake.damaged_values(pool, "zh_en_pool", "pool_record_id", {"zh_text": "zh", "en_text": "en"}, dictionaries).unionByName(
+        mojibake.damaged_values(merged, "zh_th_merged", "id", {"th_text": "th"}, dictionaries)
+    )
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    """Values that went through a wrong encoding."""
+    return _damaged(spark, d).select("table_name", "record_key", "field_name").distinct()
+
+
+def p6_restored(spark: SparkSession, d: str) -> DataFrame:
+    """Damaged values with the chain undone and the text that came back."""
+    return _damaged(spark, d).distinct()
+
+
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
     """Records at least half of whose target text says again what was said before."""
     profile = repetition.repetition_profile(_t(spark, d, "zh_th_final"))
@@ -125,6 +154,13 @@ n AS (SELECT count(DISTINCT id) AS n FROM zh_en),
 a AS (SELECT t.domain, t.source_lang, t.target_lang, t.target_share, t.min_rows, t.sample_share, count(DISTINCT z.id) AS have
       FROM t LEFT JOIN z USING (k_domain, k_source_lang, k_target_lang) GROUP BY ALL)
 SELECT domain, source_lang, target_lang FROM a, n WHERE have < target_share * sample_share * n OR have < min_rows""",
+        "p4_found": f"""
+WITH t AS (SELECT record_id, split, {_CANON.format(c='source_text')} AS t FROM sft_records WHERE split IN ('train', 'validation', 'test')),
+x AS (SELECT a.record_id AS x, b.record_id AS y, a.t AS s, b.t AS t FROM t a JOIN t b
+      ON a.split = 'train' AND b.split <> 'train' AND a.t <> '' AND b.t <> ''
+      AND abs(length(a.t) - length(b.t)) <= 0.1 * greatest(length(a.t), length(b.t)))
+SELECT DISTINCT least(x, y) AS record_id_a, greatest(x, y) AS record_id_b FROM x
+WHERE levenshtein(s, t) <= 0.1 * greatest(length(s), length(t))""",
         "p7_found": r"""
 WITH t AS (SELECT record_id, regexp_replace(coalesce(target_text, ''), '[\s\p{Z}\p{Nd}.。．｡…‥・·]+', '', 'g') AS t FROM zh_th_final),
 g AS (SELECT record_id, t, i, substring(t, cast(i AS bigint), 10) AS g FROM (SELECT record_id, t, unnest(range(1, length(t) - 8)) AS i FROM t WHERE length(t) >= 10)),
