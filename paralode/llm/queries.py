@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paralode.llm import canonical, cube, mojibake, overlap, packing, repetition, splits
+from paralode.llm import canonical, cube, langid, mojibake, overlap, packing, repetition, splits
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -63,6 +63,21 @@ def p4_report(spark: SparkSession, d: str) -> DataFrame:
     return overlap.overlap_report(records, overlap.split_overlaps(records))
 
 
+def _segments(spark: SparkSession, d: str) -> DataFrame:
+    final = _t(spark, d, "zh_th_final")
+    return langid.language_segments(final, langid.train(langid.training_sample(final, "target_text")))
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    """Languages of the records whose label is missing or wrong or whose text is mixed."""
+    return langid.mislabelled(_segments(spark, d))
+
+
+def p5_segments(spark: SparkSession, d: str) -> DataFrame:
+    """Language and confidence of every stretch of every record."""
+    return _segments(spark, d)
+
+
 def _damaged(spark: SparkSession, d: str) -> DataFrame:
     pool, merged = _t(spark, d, "zh_en_pool"), _t(spark, d, "zh_th_merged")
     dictionaries = mojibake.language_dictionaries([(pool, "zh_text", "zh"), (pool, "en_text", "en"), (merged, "th_text", "th")])
