@@ -25,28 +25,24 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _compose(c: Column | str, compat: bool) -> Column:
-    c = _col(c)
-    composed = F.java_method(F.lit(_ICU_NORMALIZER), F.lit("compose"), c, F.lit(compat))
-    # Plain ASCII is its own normal form; most Latin text skips the reflective call.
-    return F.when(c.isNull() | c.rlike(r"^\p{ASCII}*$"), c).otherwise(composed)
+def _icu(owner: str, method: str, c: Column | str, flag: bool) -> Column:
+    # The argument appears once, so nested calls stay linear; a null argument fails inside and comes out as null.
+    return F.try_reflect(F.lit(owner), F.lit(method), _col(c), F.lit(flag))
 
 
 def nfc(c: Column | str) -> Column:
     """Canonical composition; null stays null."""
-    return _compose(c, False)
+    return _icu(_ICU_NORMALIZER, "compose", c, False)
 
 
 def nfkc(c: Column | str) -> Column:
     """Compatibility composition; null stays null."""
-    return _compose(c, True)
+    return _icu(_ICU_NORMALIZER, "compose", c, True)
 
 
 def casefold(c: Column | str) -> Column:
     """Full Unicode case folding; null stays null."""
-    c = _col(c)
-    folded = F.java_method(F.lit(_ICU_CHARACTER), F.lit("foldCase"), c, F.lit(True))
-    return F.when(c.isNull() | c.rlike(r"^\p{ASCII}*$"), F.lower(c)).otherwise(folded)
+    return _icu(_ICU_CHARACTER, "foldCase", c, True)
 
 
 def _width_pairs() -> tuple[str, str]:
@@ -69,7 +65,7 @@ def fold_width(c: Column | str) -> Column:
 
 def canonical_form(c: Column | str) -> Column:
     """Text without white space, invisible characters, case, width and punctuation."""
-    folded = nfc(casefold(nfc(fold_width(c))))
+    folded = nfc(casefold(fold_width(c)))
     return F.regexp_replace(folded, r"[\s\p{Z}\p{P}" + INVISIBLE_CLASS + "]+", "")
 
 
