@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paralode.llm import canonical, cube, langid, mojibake, overlap, packing, repetition, splits
+from paralode.llm import canonical, cube, langid, mojibake, overlap, packing, repetition, splits, truncation
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -123,6 +123,16 @@ def p8_packing(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack(packing.token_sizes(_t(spark, d, "documents")), _capacity(spark, d))
 
 
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    """Documents whose text was cut off."""
+    return truncation.judge_ends(_t(spark, d, "documents")).filter("is_cut").select("doc_id").distinct()
+
+
+def p10_sources(spark: SparkSession, d: str) -> DataFrame:
+    """How often each source cuts."""
+    return truncation.source_rates(truncation.judge_ends(_t(spark, d, "documents")))
+
+
 _CANON = r"""regexp_replace(nfc_normalize(lower(nfc_normalize(translate({c},
   (select string_agg(chr(cast(65281 + i as integer)), '' order by i) from range(94) r(i)),
   (select string_agg(chr(cast(33 + i as integer)), '' order by i) from range(94) r(i)))))),
