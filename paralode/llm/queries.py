@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paralode.llm import canonical, cube, langid, mojibake, overlap, packing, repetition, splits, truncation
+from paralode.llm import canonical, cube, langid, leakage, mojibake, overlap, packing, repetition, splits, truncation
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -123,6 +123,17 @@ def p8_packing(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack(packing.token_sizes(_t(spark, d, "documents")), _capacity(spark, d))
 
 
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    """Documents with the items they hold, whole or in good part."""
+    return leakage.leaked_items(_t(spark, d, "documents"), _t(spark, d, "benchmark")).select("doc_id", "item_id")
+
+
+def p9_report(spark: SparkSession, d: str) -> DataFrame:
+    """Number of leaking documents of every item."""
+    items = _t(spark, d, "benchmark")
+    return leakage.leak_report(leakage.leaked_items(_t(spark, d, "documents"), items), items)
+
+
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
     """Documents whose text was cut off."""
     return truncation.judge_ends(_t(spark, d, "documents")).filter("is_cut").select("doc_id").distinct()
