@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,9 +34,21 @@ def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{directory}/{name}.parquet")
 
 
+_MODULES = ("text_queries", "gate_queries", "table_queries")
+
+
+def _load() -> None:
+    for name in _MODULES:
+        importlib.import_module(f"paralode.plans.{name}")
+
+
 def queries() -> dict[str, Query]:
+    """Every registered query by name."""
+    _load()
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    """The SQL of the queries that have one."""
+    _load()
     return dict(_SQL)

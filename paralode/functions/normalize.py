@@ -7,6 +7,7 @@ import html
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from paralode.functions.text import casefold, nfc
 
@@ -31,7 +32,7 @@ def collapse_space(c: Column) -> Column:
     return _sub(c, (SPACES, " "), ("^ | $", ""))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _unescape(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: t if t is None else html.unescape(t))
 

@@ -122,16 +122,16 @@ def english_support(target: Column | str, source: Column | str) -> Column:
 
 def chinese_sentences(c: Column | str) -> Column:
     """Sentences that end with a Chinese or western mark; the rest of a text is one too."""
-    return F.filter(F.transform(F.regexp_extract_all(F.coalesce(_col(c), F.lit("")), F.lit("[^。！？!?；;]+[。！？!?；;]?"), F.lit(0)), F.trim), lambda s: s != "")
+    return F.filter(F.transform(F.regexp_extract_all(F.coalesce(_col(c), F.lit("")), F.lit("[^。！？!?；;]+[。！？!?；;]?"), F.lit(0)), lambda s: F.trim(s)), lambda s: s != "")
 
 
 def english_sentences(c: Column | str) -> Column:
     """Sentences parted after a mark and before a capital, digit or quotation mark."""
-    return F.filter(F.transform(F.split(F.coalesce(_col(c), F.lit("")), r"(?<=[.!?])\s+(?=[A-Z0-9\"'])"), F.trim), lambda s: s != "")
+    return F.filter(F.transform(F.split(F.coalesce(_col(c), F.lit("")), r"(?<=[.!?])\s+(?=[A-Z0-9\"'])"), lambda s: F.trim(s)), lambda s: s != "")
 
 
 def split_codepoints(c: Column | str, limit: int, tail: float = 0.45) -> Column:
     """Pieces of at most ``limit`` code points, cut at the last mark or space in the last ``tail`` of each window."""
     least = max(1, int(limit * (1 - tail)))
     piece = rf"(?s).{{{least},{limit}}}(?<=[。！？!?；;，,.\s])|.{{1,{limit}}}"
-    return F.filter(F.transform(F.regexp_extract_all(F.coalesce(_col(c), F.lit("")), F.lit(piece), F.lit(0)), F.trim), lambda s: s != "")
+    return F.filter(F.transform(F.regexp_extract_all(F.coalesce(_col(c), F.lit("")), F.lit(piece), F.lit(0)), lambda s: F.trim(s)), lambda s: s != "")

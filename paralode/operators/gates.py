@@ -8,6 +8,7 @@ from dataclasses import dataclass
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from paralode.functions import normalize, scripts
 from paralode.functions.scripts import count, english_words, han, latin, share, thai, visible
@@ -29,7 +30,7 @@ def first_reason(rules: Sequence[Rule]) -> Column:
 def primary_reason(found: Column, priority: Sequence[str]) -> Column:
     """Of the reasons found, the one that comes first in a list of priorities."""
     order = F.array(*[F.lit(p) for p in priority])
-    return F.element_at(F.filter(order, lambda p: F.array_contains(found, p)), 1)
+    return F.try_element_at(F.filter(order, lambda p: F.array_contains(found, p)), F.lit(1))
 
 
 def _text(c: Column | str) -> Column:
@@ -173,7 +174,7 @@ def merge_flags(zh: Column | str, th: Column | str) -> Column:
     )
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def compression_ratio(texts: pd.Series) -> pd.Series:
     """zlib size over byte size of a text, 0 for an empty one."""
     import zlib
