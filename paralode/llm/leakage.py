@@ -28,7 +28,7 @@ GRAM = 4
 LEAST_LETTERS = 24
 #: Cosine in the latent space and share of common grams from which a window is checked.
 COSINE = 0.8
-COMMON = 0.5
+COMMON = 0.6
 #: Share of an item that a connected passage must hold.
 COVERAGE = 0.55
 
@@ -108,7 +108,12 @@ def half_windows(buckets: np.ndarray, owner: np.ndarray, basis: np.ndarray, half
     place = np.arange(len(owner)) - np.repeat(first, np.diff(np.append(first, len(owner))))
     starts = np.flatnonzero(place % half == 0)
     ends = np.append(starts[1:], len(owner))
-    sums = np.add.reduceat(basis[buckets], starts, axis=0)
+    # Halves as rows of equal length; short ones are padded with the zero vector behind the basis.
+    index = starts[:, None] + np.arange(half)
+    padded = np.where(index < ends[:, None], buckets[np.minimum(index, len(buckets) - 1)], len(basis) - 1)
+    sums = np.empty((len(starts), basis.shape[1]), dtype=np.float32)
+    for at in range(0, len(starts), 4096):
+        sums[at : at + 4096] = basis[padded[at : at + 4096]].sum(axis=1)
     who = owner[starts]
     pair = np.append(who[1:] == who[:-1], False)
     single = ~pair & ~np.append(False, pair[:-1])
@@ -245,7 +250,8 @@ class Searcher:
     """The items in latent space and in letters; finds them in texts."""
 
     def __init__(self, items: Sequence[tuple[object, str]], basis: np.ndarray, cosine: float = COSINE, common: float = COMMON, coverage: float = COVERAGE):
-        self.basis, self.cosine, self.common, self.least = basis, cosine, common, coverage
+        self.basis = np.concatenate([basis, np.zeros_like(basis[:, :1])], axis=1)
+        self.cosine, self.common, self.least = cosine, common, coverage
         self.scripts = []
         for k, (own, script) in enumerate(zip(letters_of([t for _, t in items]), SCRIPTS)):
             vectors, owner, check, keys = [], [], [], []
