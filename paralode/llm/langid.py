@@ -124,7 +124,8 @@ class Model:
         gram = np.zeros(n, dtype=np.uint64)
         for k in range(ORDER + 1):
             shifted = np.zeros(n, dtype=np.uint64)
-            shifted[k:] = wide[: n - k] if k else wide
+            if k < n:
+                shifted[k:] = wide[: n - k]
             gram = gram | (shifted << np.uint64(8 * k))
             rows.append(self._find(self.tables[k], gram))
         bits = np.zeros((n, len(self.languages)), dtype=np.float32)

@@ -41,7 +41,7 @@ def repeat_share(text: Column, stretch: int = 10) -> Column:
     windows is measured in one pass. The work is n log n in the length.
     """
     bare = F.regexp_replace(text, r"[\s\p{Z}\p{Nd}.。．｡…‥・·]+", "")
-    windows = F.regexp_extract_all(bare, F.lit(f"(?s)(?=(.{{{stretch}}}))"), F.lit(1))
+    windows = F.regexp_extract_all(bare, F.lit(f"(?s)(?=(.{{{stretch}}}))."), F.lit(1))
     placed = F.array_sort(F.transform(windows, lambda g, i: F.struct(g.alias("g"), i.alias("i"))))
     later = F.zip_with(
         F.slice(placed, F.lit(2), F.greatest(F.size(placed) - 1, F.lit(0))),
