@@ -93,7 +93,7 @@ def repeat_score(c: Column | str, n: int, compact: bool = True) -> Column:
     c = F.coalesce(_col(c), F.lit(""))
     if compact:
         c = F.regexp_replace(c, r"[\s\p{Z}]+", "")
-    grams = F.regexp_extract_all(c, F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1))
+    grams = F.regexp_extract_all(c, F.lit(f"(?s)(?=(.{{{n}}}))."), F.lit(1))
     return F.when(F.size(grams) > 0, F.round(1 - F.size(F.array_distinct(grams)) / F.size(grams), 6)).otherwise(F.lit(0.0))
 
 
