@@ -92,7 +92,7 @@ def checks(df: DataFrame, **conditions: Column) -> DataFrame:
 
 def fingerprint(df: DataFrame, key: str, text: str) -> DataFrame:
     """A hash of a table that does not depend on the order of its rows: (rows, sum and xor of 64-bit row hashes)."""
-    h = F.xxhash64(F.col(key), F.sha2(F.coalesce(F.col(text), F.lit("")), 256))
+    h = F.xxhash64(F.col(key), F.sha2(F.coalesce(F.col(text).cast("string"), F.lit("")), 256))
     return df.agg(F.count("*").alias("n_rows"), F.coalesce(F.sum(h.cast("decimal(38,0)")), F.lit(0)).cast("string").alias("hash_sum"), F.coalesce(F.bit_xor(h), F.lit(0)).alias("hash_xor"))
 
 

@@ -30,7 +30,7 @@ def first_reason(rules: Sequence[Rule]) -> Column:
 def primary_reason(found: Column, priority: Sequence[str]) -> Column:
     """Of the reasons found, the one that comes first in a list of priorities."""
     order = F.array(*[F.lit(p) for p in priority])
-    return F.try_element_at(F.filter(order, lambda p: F.array_contains(found, p)), F.lit(1))
+    return F.try_element_at(F.array_intersect(order, found), F.lit(1))
 
 
 def _text(c: Column | str) -> Column:
