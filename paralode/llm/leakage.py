@@ -28,7 +28,7 @@ GRAM = 4
 LEAST_LETTERS = 24
 #: Cosine in the latent space and share of common grams from which a window is checked.
 COSINE = 0.8
-COMMON = 0.6
+COMMON = 0.55
 #: Share of an item that a connected passage must hold.
 COVERAGE = 0.55
 
