@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -42,28 +42,25 @@ def repeat_share(text: Column, stretch: int = 10) -> Column:
     """
     bare = F.regexp_replace(text, r"[\s\p{Z}\p{Nd}.。．｡…‥・·]+", "")
     windows = F.regexp_extract_all(bare, F.lit(f"(?s)(?=(.{{{stretch}}}))."), F.lit(1))
-    placed = F.array_sort(F.transform(windows, lambda g, i: F.struct(g.alias("g"), i.alias("i"))))
-    later = F.zip_with(
-        F.slice(placed, F.lit(2), F.greatest(F.size(placed) - 1, F.lit(0))),
-        F.slice(placed, F.lit(1), F.greatest(F.size(placed) - 1, F.lit(0))),
-        lambda b, a: F.when(b["g"] == a["g"], b["i"]),
-    )
-    starts = F.array_sort(F.filter(later, lambda i: i.isNotNull()))
+    placed = F.sort_array(F.transform(windows, lambda g, i: F.struct(g.alias("g"), i.alias("i"))))
+    starts = _let(placed, lambda p: F.sort_array(F.filter(F.transform(p, lambda w, k: F.when((k > 0) & (w["g"] == p[F.greatest(k - 1, F.lit(0))]["g"]), w["i"])), lambda i: i.isNotNull())))
     covered = F.aggregate(
         starts,
         F.struct(F.lit(0).alias("n"), F.lit(0).alias("end")),
         lambda acc, i: F.struct((acc["n"] + i + stretch - F.greatest(acc["end"], i)).alias("n"), (i + stretch).alias("end")),
         lambda acc: acc["n"],
     )
-    length = F.char_length(bare)
-    return F.when(length >= stretch, covered / length).otherwise(F.lit(0.0))
+    return F.coalesce(covered / F.nullif(F.char_length(bare), F.lit(0)), F.lit(0.0))
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
 
 
 def _copies_share(parts: Column) -> Column:
-    parts = F.filter(parts, lambda p: F.char_length(F.trim(p)) > 0)
-    total = F.aggregate(parts, F.lit(0), lambda a, p: a + F.char_length(p))
-    once = F.aggregate(F.array_distinct(parts), F.lit(0), lambda a, p: a + F.char_length(p))
-    return F.when(total > 0, (total - once) / total).otherwise(F.lit(0.0))
+    total = lambda ps: F.aggregate(ps, F.lit(0), lambda a, p: a + F.char_length(p))
+    return _let(F.filter(parts, lambda p: F.char_length(F.trim(p)) > 0), lambda ps: F.coalesce((total(ps) - total(F.array_distinct(ps))) / F.nullif(total(ps), F.lit(0)), F.lit(0.0)))
 
 
 def metrics(text: Column, stretch: int = 10) -> dict[str, Column]:
