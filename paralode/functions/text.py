@@ -8,6 +8,7 @@ ships with, so no text leaves the JVM.
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -25,6 +26,11 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body names it; no Python function may be inside."""
+    return F.element_at(F.transform(F.array(value), lambda v: body(v)), 1)
+
+
 def _icu(owner: str, method: str, c: Column | str, flag: bool) -> Column:
     # The argument appears once, so nested calls stay linear; a null argument fails inside and comes out as null.
     return F.try_reflect(F.lit(owner), F.lit(method), _col(c), F.lit(flag))

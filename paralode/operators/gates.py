@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from paralode.functions import normalize, scripts
 from paralode.functions.scripts import count, english_words, han, latin, share, thai, visible
-from paralode.functions.text import casefold
+from paralode.functions.text import casefold, let
 
 Rule = tuple[str, Column]
 
@@ -188,27 +188,38 @@ def compression_ratio(texts: pd.Series) -> pd.Series:
 
 def _collapsed(c: Column, unique_below: float, ratio_below: float, n: int = 8) -> Column:
     """Few distinct n-grams and a small compressed size; only repetitive long texts reach the compression."""
-    suspect = (F.char_length(c) >= 100) & (1 - scripts.repeat_score(c, n) < unique_below)
-    return F.coalesce(compression_ratio(F.when(suspect, c)), F.lit(1.0)).between(1e-9, ratio_below) & suspect
+    suspect = let(c, lambda t: F.when((F.char_length(t) >= 100) & (1 - scripts.repeat_score(t, n) < unique_below), t))
+    return F.coalesce(compression_ratio(suspect) < ratio_below, F.lit(False)) & suspect.isNotNull()
 
 
 def severe_repetition(c: Column | str) -> Column:
     """One unit repeated over 80 characters or more, or a text that collapses to a few n-grams."""
-    c = normalize.sft_text(c)
-    return (scripts.loop_span(c) >= 80) | _collapsed(c, 0.15, 0.12)
+    form = normalize.sft_text(c)
+    return (scripts.loop_span(form) >= 80) | _collapsed(form, 0.15, 0.12)
 
 
-def audit_gate(raw_zh: Column | str, raw_th: Column | str) -> dict[str, Column]:
-    """reject, review and flags of a Chinese-Thai pair, judged on the raw and on the merge form."""
-    raw_zh, raw_th = _text(raw_zh), _text(raw_th)
-    zh, th = normalize.merge_text(raw_zh), normalize.merge_text(raw_th)
-    p_zh, p_th = scripts.script_profile(zh), scripts.script_profile(th)
-    e_zh, e_th = scripts.english_profile(zh), scripts.english_profile(th)
+def with_audit(df: DataFrame, zh: str, th: str) -> DataFrame:
+    """Adds audit_zh, audit_th (merge form) and the reason arrays reject, review and flags of a Chinese-Thai pair.
+
+    Judged on the raw text and on its merge form. Forms, script counts and
+    English counts are columns of their own first, so each is computed once.
+    """
+    given = df.withColumns({"__raw_zh": _text(zh), "__raw_th": _text(th)})
+    forms = given.withColumns({"audit_zh": normalize.merge_text("__raw_zh"), "audit_th": normalize.merge_text("__raw_th")})
+    counted = forms.withColumns(
+        {
+            "__p_zh": scripts.script_profile("audit_zh"), "__p_th": scripts.script_profile("audit_th"),
+            "__e_zh": scripts.english_profile("audit_zh"), "__e_th": scripts.english_profile("audit_th"),
+            "__loop": scripts.loop_span("audit_th"), "__collapsed": _collapsed(F.col("audit_th"), 0.20, 0.20),
+        }
+    )
+    raw_zh, raw_th, zh_, th_ = F.col("__raw_zh"), F.col("__raw_th"), F.col("audit_zh"), F.col("audit_th")
+    p_zh, p_th, e_zh, e_th = F.col("__p_zh"), F.col("__p_th"), F.col("__e_zh"), F.col("__e_th")
     either = lambda p: raw_zh.rlike(p) | raw_th.rlike(p)
     large = lambda e: (e["latin_letter_count"] >= 100) | (e["english_word_count"] >= 20) | (e["longest_english_block"] >= 100)
-    supported = large(e_th) & (e_zh["latin_letter_count"] >= 20) & (scripts.english_support(th, zh) >= 0.6)
-    ratio = F.char_length(th) / F.greatest(F.char_length(zh), F.lit(1))
-    has_zh, has_th = zh != "", th != ""
+    supported = large(e_th) & (e_zh["latin_letter_count"] >= 20) & (scripts.english_support(th_, zh_) >= 0.6)
+    ratio = F.char_length(th_) / F.greatest(F.char_length(zh_), F.lit(1))
+    has_zh, has_th = zh_ != "", th_ != ""
     no_han, no_thai = has_zh & (p_zh["han_count"] == 0), has_th & (p_th["thai_count"] == 0)
     reject = reasons(
         [
@@ -219,21 +230,21 @@ def audit_gate(raw_zh: Column | str, raw_th: Column | str) -> dict[str, Column]:
             ("mojibake", either(AUDIT_MARKS)),
             ("private_use_character", either(r"\p{Co}")),
             ("chinese_side_has_no_han", no_han),
-            ("chinese_side_contains_thai", thai(zh) > 0),
+            ("chinese_side_contains_thai", thai(zh_) > 0),
             ("thai_side_has_no_thai", no_thai),
             ("thai_side_not_thai_dominant", ~no_thai & (p_th["thai_ratio"] < 0.5)),
-            ("thai_side_contains_han", han(th, "audit") > 0),
-            ("thai_side_foreign_letter_mark", th.rlike(r"[\p{L}\p{M}&&[^\x{0E00}-\x{0E7F}\p{IsLatin}]]")),
-            ("continuous_repetition", scripts.loop_span(th) >= 40),
-            ("severe_ngram_collapse", _collapsed(th, 0.20, 0.20)),
-            ("source_target_identical", has_zh & has_th & (casefold(zh) == casefold(th))),
+            ("thai_side_contains_han", han(th_, "audit") > 0),
+            ("thai_side_foreign_letter_mark", th_.rlike(r"[\p{L}\p{M}&&[^\x{0E00}-\x{0E7F}\p{IsLatin}]]")),
+            ("continuous_repetition", F.col("__loop") >= 40),
+            ("severe_ngram_collapse", F.col("__collapsed")),
+            ("source_target_identical", has_zh & has_th & (casefold(zh_) == casefold(th_))),
             ("extreme_length_ratio", has_zh & has_th & ~ratio.between(0.1, 8.0)),
         ]
     )
     review = reasons(
         [
             ("chinese_side_not_han_dominant", ~no_han & (p_zh["han_ratio"] < 0.5)),
-            ("chinese_side_foreign_letter_mark", zh.rlike(r"[\p{L}\p{M}&&[^\p{IsHan}\p{IsLatin}]]")),
+            ("chinese_side_foreign_letter_mark", zh_.rlike(r"[\p{L}\p{M}&&[^\p{IsHan}\p{IsLatin}]]")),
             ("thai_script_ratio_below_0_80", ~no_thai & (p_th["thai_ratio"] >= 0.5) & (p_th["thai_ratio"] < 0.8)),
             ("large_abnormal_english", large(e_th) & ~supported),
         ]
@@ -245,7 +256,8 @@ def audit_gate(raw_zh: Column | str, raw_th: Column | str) -> dict[str, Column]:
             ("unusual_length_ratio", has_zh & has_th & ratio.between(0.1, 8.0) & ~ratio.between(0.25, 4.0)),
         ]
     )
-    return {"zh": zh, "th": th, "reject": reject, "review": review, "flags": flags}
+    judged = counted.withColumns({"reject": reject, "review": review, "flags": flags})
+    return judged.drop("__raw_zh", "__raw_th", "__p_zh", "__p_th", "__e_zh", "__e_th", "__loop", "__collapsed")
 
 
 def decision(reject: Column, review: Column) -> Column:
@@ -304,17 +316,22 @@ SIDES = {"zh-CN": ("han", 10, 0.40), "en": ("latin", 20, 0.70), "th": ("thai", 1
 
 def side_quality(text: Column | str, lang: Column | str) -> Column:
     """Struct (share, amount, passes, borderline) of a side under the language it should be in; other languages fail."""
-    c = _text(text)
     lang = F.col(lang) if isinstance(lang, str) else lang
-    n = {"han": han(c, "sft"), "latin": count(c, r"[\p{IsLatin}&&\p{L}]"), "thai": thai(c)}
-    total = F.greatest(n["han"] + n["latin"] + n["thai"], F.lit(1))
-    ratio, amount, ok = F.lit(0.0), F.lit(0), F.lit(False)
-    for name, (script, least, least_share) in SIDES.items():
-        hit = lang == name
-        ratio = F.when(hit, n[script] / total).otherwise(ratio)
-        amount = F.when(hit, n[script]).otherwise(amount)
-        ok = F.when(hit, (n[script] >= least) & (n[script] / total >= least_share)).otherwise(ok)
-    return F.struct(F.round(ratio, 6).alias("share"), amount.cast("int").alias("amount"), ok.alias("passes"), (ok & (ratio < 0.85)).alias("borderline"))
+
+    def judge(k: Column) -> Column:
+        total = F.greatest(k["han"] + k["latin"] + k["thai"], F.lit(1))
+        ratio, amount, ok = F.lit(0.0), F.lit(0), F.lit(False)
+        for name, (script, least, least_share) in SIDES.items():
+            hit = k["lang"] == name
+            ratio = F.when(hit, k[script] / total).otherwise(ratio)
+            amount = F.when(hit, k[script]).otherwise(amount)
+            ok = F.when(hit, (k[script] >= least) & (k[script] / total >= least_share)).otherwise(ok)
+        return F.struct(F.round(ratio, 6).alias("share"), amount.cast("int").alias("amount"), ok.alias("passes"), (ok & (ratio < 0.85)).alias("borderline"))
+
+    def counts(c: Column) -> Column:
+        return F.struct(han(c, "sft").alias("han"), count(c, r"[\p{IsLatin}&&\p{L}]").alias("latin"), thai(c).alias("thai"), F.coalesce(lang, F.lit("")).alias("lang"))
+
+    return let(let(_text(text), counts), judge)
 
 
 SFT_PRIORITY = (
@@ -326,33 +343,41 @@ DIRECTIONS = ("zh-CN->en", "en->zh-CN", "zh-CN->th", "th->zh-CN")
 
 def sft_reasons(source: Column | str, target: Column | str, source_lang: Column | str, target_lang: Column | str) -> Column:
     """Reasons against a training record, without the check for duplicates."""
-    s, t = normalize.sft_text(source), normalize.sft_text(target)
     sl, tl = (F.col(x) if isinstance(x, str) else x for x in (source_lang, target_lang))
-    known = F.coalesce(F.concat_ws("->", sl, tl).isin(*DIRECTIONS), F.lit(False))
-    return reasons(
-        [
-            ("empty_source", s == ""),
-            ("empty_target", t == ""),
-            ("source_equals_target", (s != "") & (casefold(s) == casefold(t))),
-            ("invalid_direction", ~known),
-            ("source_language_mismatch", known & (s != "") & ~side_quality(s, sl)["passes"]),
-            ("target_language_mismatch", known & (t != "") & ~side_quality(t, tl)["passes"]),
-            ("severe_target_repetition", severe_repetition(t)),
-        ]
-    )
+    forms = F.struct(normalize.sft_text(source).alias("s"), normalize.sft_text(target).alias("t"), F.coalesce(sl, F.lit("")).alias("sl"), F.coalesce(tl, F.lit("")).alias("tl"))
+
+    def plain(f: Column) -> Column:
+        known = F.concat_ws("->", f["sl"], f["tl"]).isin(*DIRECTIONS)
+        return reasons(
+            [
+                ("empty_source", f["s"] == ""),
+                ("empty_target", f["t"] == ""),
+                ("source_equals_target", (f["s"] != "") & (casefold(f["s"]) == casefold(f["t"]))),
+                ("invalid_direction", ~known),
+                ("source_language_mismatch", known & (f["s"] != "") & ~side_quality(f["s"], f["sl"])["passes"]),
+                ("target_language_mismatch", known & (f["t"] != "") & ~side_quality(f["t"], f["tl"])["passes"]),
+            ]
+        )
+
+    return F.concat(let(forms, plain), reasons([("severe_target_repetition", severe_repetition(target))]))
 
 
 def sft_warnings(source: Column | str, target: Column | str, source_lang: Column | str, target_lang: Column | str) -> Column:
-    s, t = normalize.sft_text(source), normalize.sft_text(target)
-    ratio = F.char_length(t) / F.greatest(F.char_length(s), F.lit(1))
-    return reasons(
-        [
-            ("source_language_ratio_borderline", side_quality(s, source_lang)["borderline"]),
-            ("target_language_ratio_borderline", side_quality(t, target_lang)["borderline"]),
-            ("length_ratio_extreme", ~ratio.between(0.2, 5.0)),
-            ("long_text", F.greatest(F.char_length(s), F.char_length(t)) > 2000),
-        ]
-    )
+    langs = [F.coalesce(F.col(x) if isinstance(x, str) else x, F.lit("")) for x in (source_lang, target_lang)]
+    forms = F.struct(normalize.sft_text(source).alias("s"), normalize.sft_text(target).alias("t"), langs[0].alias("sl"), langs[1].alias("tl"))
+
+    def plain(f: Column) -> Column:
+        ratio = F.char_length(f["t"]) / F.greatest(F.char_length(f["s"]), F.lit(1))
+        return reasons(
+            [
+                ("source_language_ratio_borderline", side_quality(f["s"], f["sl"])["borderline"]),
+                ("target_language_ratio_borderline", side_quality(f["t"], f["tl"])["borderline"]),
+                ("length_ratio_extreme", ~ratio.between(0.2, 5.0)),
+                ("long_text", F.greatest(F.char_length(f["s"]), F.char_length(f["t"])) > 2000),
+            ]
+        )
+
+    return let(forms, plain)
 
 
 def submission_reasons(row: dict[str, Column]) -> Column:

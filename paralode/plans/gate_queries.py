@@ -90,8 +90,7 @@ def merge_gate(spark: SparkSession, d: str) -> DataFrame:
 
 @register("f5_audit_decision")
 def audit_decision(spark: SparkSession, d: str) -> DataFrame:
-    g = gates.audit_gate("zh_text", "th_text")
-    rows = table(spark, d, "zh_th_merged").select("id", "loaded_at", g["reject"].alias("reject"), g["review"].alias("review"), g["flags"].alias("flags"))
+    rows = gates.with_audit(table(spark, d, "zh_th_merged").select("id", "loaded_at", "zh_text", "th_text"), "zh_text", "th_text")
     return rows.select("id", "loaded_at", gates.decision(F.col("reject"), F.col("review")).alias("decision"), *[F.array_join(c, " ").alias(c) for c in ("reject", "review", "flags")])
 
 

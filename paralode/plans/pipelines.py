@@ -87,19 +87,19 @@ def merge_best(events: DataFrame, key: str, order: Sequence[str], rank: Sequence
 
 def audit(rows: DataFrame, id_col: str = "record_id", candidate: str = "candidate_id", zh: str = "source_text", th: str = "target_text", least_thai: int = 20, most_repeat: float = 0.5) -> DataFrame:
     """Audited Chinese-Thai rows: decision and all reasons, those of the pair gate, of Latin runs, length, repetition and duplicates."""
-    g = gates.audit_gate(zh, th)
-    contaminated = gates.latin_contamination(g["th"])
+    judged = gates.with_audit(rows.select(F.col(id_col).alias("record_id"), F.col(candidate).alias("candidate_id"), F.col(zh).alias("zh"), F.col(th).alias("th")), "zh", "th")
+    judged = judged.withColumn("latin", gates.latin_contamination("audit_th"))
     extra = gates.reasons(
         [
-            ("thai_side_suspicious_lowercase_latin", F.size(contaminated["words"]) > 0),
-            ("thai_latin_mixed_token", F.size(contaminated["mixed"]) > 0),
-            ("target_too_short", scripts.thai(g["th"]) < least_thai),
-            ("repeat_score_20_too_high", scripts.repeat_score(g["th"], 20) >= most_repeat),
+            ("thai_side_suspicious_lowercase_latin", F.size("latin.words") > 0),
+            ("thai_latin_mixed_token", F.size("latin.mixed") > 0),
+            ("target_too_short", scripts.thai("audit_th") < least_thai),
+            ("repeat_score_20_too_high", scripts.repeat_score("audit_th", 20) >= most_repeat),
         ]
     )
-    keyed = rows.select(
-        F.col(id_col).alias("record_id"), F.col(candidate).alias("candidate_id"), keys.exact_pair(zh, th).alias("pair"), F.sha2(g["zh"], 256).alias("source_key"), F.sha2(g["th"], 256).alias("target_key"),
-        g["reject"].alias("reject"), g["review"].alias("review"), g["flags"].alias("flags"), extra.alias("extra"),
+    keyed = judged.select(
+        "record_id", "candidate_id", keys.exact_pair("zh", "th").alias("pair"), F.sha2("audit_zh", 256).alias("source_key"), F.sha2("audit_th", 256).alias("target_key"),
+        "reject", "review", "flags", extra.alias("extra"),
     )
     marked = dedup.occurrence_reasons(cut(keyed), "record_id", "candidate_id", "pair", "source_key", "target_key")
     reject: Column = F.concat("reject", "extra", "duplicate_reasons")

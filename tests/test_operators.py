@@ -74,8 +74,8 @@ def test_latin_contamination(spark):
 def test_audit_and_sft_gates(spark):
     th, zh = "ธนาคารประกาศว่าจะลดอัตราดอกเบี้ยให้กับประชาชนในปีนี้", "银行宣布今年将为公众降低利率"
     data = spark.createDataFrame([(1, zh, th), (2, zh, th + "学"), (3, zh, "คำซ้ำ" * 60), (4, None, None), (5, zh + "ก", th), (6, zh, "​" + th)], "i int, zh string, th string")
-    g = gates.audit_gate("zh", "th")
-    got = {r["i"]: r["d"] for r in data.select("i", gates.decision(g["reject"], g["review"]).alias("d")).collect()}
+    judged = gates.with_audit(data, "zh", "th")
+    got = {r["i"]: r["d"] for r in judged.select("i", gates.decision(F.col("reject"), F.col("review")).alias("d")).collect()}
     assert got == {1: "accept", 2: "reject", 3: "reject", 4: "reject", 5: "reject", 6: "reject"}
     rec = spark.createDataFrame([(zh, th, "zh-CN", "th"), (zh, zh, "zh-CN", "th"), ("", None, "zh-CN", "xx"), (zh, "abc " * 100, "zh-CN", "en")], "s string, t string, a string, b string")
     primary = [r[0] for r in rec.select(gates.primary_reason(gates.sft_reasons("s", "t", "a", "b"), gates.SFT_PRIORITY)).collect()]
