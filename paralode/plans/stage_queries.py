@@ -83,7 +83,7 @@ def chunk_gate(spark: SparkSession, d: str) -> DataFrame:
 
 
 @register(
-    "p16_masked_labels",
+    "c31_masked_labels",
     """WITH t AS (SELECT doc_id, list_transform(range(cast(n_chars % 5 AS bigint)), lambda i: cast(i + 1 AS int)) AS p, list_transform(range(cast(n_chars % 7 AS bigint)), lambda i: cast(i + 10 AS int)) AS c FROM documents WHERE n_chars > 0)
 SELECT doc_id, array_to_string(list_transform(range(8), lambda i: CASE WHEN i < len(p) THEN -100 WHEN i < len(p) + len(c) THEN c[i + 1 - len(p)] ELSE -100 END), ' ') AS labels FROM t""",
 )
