@@ -28,6 +28,23 @@ def hash_sample(df: DataFrame, seed: str, id_col: str, n: int, *strata: str) ->
     return df.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= n).drop("__rn")
 
 
+def least_hashed(df: DataFrame, column: str, n: int, test: Column | None = None, headroom: int = 8) -> DataFrame:
+    """The n distinct values of a column with the least hash, of those that pass a test.
+
+    A count of rows first gives a bound on the hash under which about
+    ``headroom`` times n rows lie; only those are tested and sorted, so what is
+    gathered does not grow with the table. Null is no value.
+    """
+    share = headroom * n / max(df.count(), 1)
+    c = F.col(f"`{column}`")
+    rows = df.select(c.alias("value"), F.xxhash64(c).alias("h")).filter("value is not null")
+    if share < 1:
+        rows = rows.filter(F.col("h") < int(-(2**63) + share * 2**64))
+    if test is not None:
+        rows = rows.filter(test)
+    return rows.distinct().orderBy("h", "value").limit(n).select("value")
+
+
 def twister_order(n: int, seed: int) -> list[int]:
     """The permutation that a seeded Mersenne Twister shuffle makes of n places; for tables that fit a driver."""
     if n > 1_000_000:

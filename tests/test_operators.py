@@ -152,6 +152,13 @@ def test_order_and_selection(spark):
     assert split.count() == 201 and split.groupBy("g").agg(F.count_distinct("assigned_split").alias("n")).filter("n > 1").count() == 0
 
 
+def test_least_hashed(spark):
+    data = spark.createDataFrame([(str(i % 500),) for i in range(2000)] + [(None,)], "h string")
+    want = [r["h"] for r in data.filter("h is not null").distinct().orderBy(F.xxhash64("h")).limit(20).collect()]
+    assert [r["value"] for r in select.least_hashed(data, "h", 20).collect()] == want
+    assert select.least_hashed(data, "h", 9999).count() == 500 and select.least_hashed(data.limit(0), "h", 5).count() == 0
+
+
 def test_surrogate_ids(spark):
     data = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("v"))
     ids = joins.surrogate_ids(data, "r_", [F.col("v")], width=5)
