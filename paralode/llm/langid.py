@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from paralode.operators.select import least_hashed
+
 LANGUAGES = ("th", "zh-CN", "en", "lo", "ja", "vi", "id")
 ORDER = 4
 #: Bits that a change of language costs on the path through a text.
@@ -269,9 +271,7 @@ def train(samples: Sequence[str], seeds: dict[str, str] = SEEDS, max_chars: int
 
 def training_sample(df: DataFrame, text_col: str, rows: int = 3000) -> list[str]:
     """A bounded sample for the models: the ``rows`` texts of least hash."""
-    c = F.col(f"`{text_col}`")
-    picked = df.filter(c.isNotNull()).select(c.alias("t"), F.xxhash64(c).alias("h")).orderBy("h", "t").limit(rows).collect()
-    return [r["t"] for r in picked]
+    return [r["value"] for r in least_hashed(df, text_col, rows).collect()]
 
 
 def primary_language(label: Column) -> Column:

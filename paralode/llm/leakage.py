@@ -18,6 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from paralode.operators.select import least_hashed
 from paralode.session import cut
 
 BUCKET_BITS = 14
@@ -324,7 +325,7 @@ def leaked_items(
         raise ValueError(f"more than {max_items} items; search them in several calls")
     texts = df.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     idf = idf_weights(gram_counts(texts, "text"))
-    sample = texts.filter("text is not null").select("text", F.xxhash64("text").alias("h")).orderBy("h", "text").limit(sample_rows).select("text")
+    sample = least_hashed(texts, "text", sample_rows).select(F.col("value").alias("text"))
     sample = cut(sample.union(items.select(F.col(f"`{item_text}`").alias("text"))).repartition(6))
     box = spark.sparkContext.broadcast(Searcher([(r["k"], r["t"]) for r in sorted(rows, key=lambda r: (r["k"], r["t"]))], fit_basis(sample, idf)))
 

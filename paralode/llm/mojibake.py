@@ -17,6 +17,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from paralode.operators.select import least_hashed
+
 LOST = "\ufffd"
 #: Share of the plain length in a description.
 PLAIN_SHARE = 0.05
@@ -207,9 +209,8 @@ def language_dictionaries(columns: Sequence[tuple[DataFrame, str, str]], sample_
     """
     out: dict[str, bytes] = {}
     for df, column, language in columns:
-        c = F.col(f"`{column}`")
-        rows = df.filter(c.rlike(CLEAN[language])).select(c.alias("t"), F.xxhash64(c).alias("h")).orderBy("h", "t").limit(sample_rows).collect()
-        data = "\n".join(r["t"] for r in rows).encode()
+        rows = least_hashed(df, column, sample_rows, F.col("value").rlike(CLEAN[language])).collect()
+        data = "\n".join(r["value"] for r in rows).encode()
         if data:
             out[language] = (out.get(language, b"") + data)[-max_bytes:]
     return out
