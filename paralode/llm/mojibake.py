@@ -28,7 +28,7 @@ CONTROL = re.compile("[\u0080-\u009f]")
 #: What a restored stretch may consist of: Latin with accents, marks, Thai, CJK and its punctuation,
 #: and the characters of one more wrong decoding.
 PLAUSIBLE = re.compile(
-    "[\u0080-\u024f\u02c6\u02dc\u0e00-\u0e7f\u1e00-\u1eff\u2010-\u2044\u20ac\u2122\u3000-\u303f\u3400-\u9fff\uf900-\ufaff\uff00-\uffef]*"
+    "[\u0080-\u017f\u0192\u01a0\u01a1\u01af\u01b0\u02c6\u02dc\u0e00-\u0e7f\u1e00-\u1eff\u2010-\u2044\u20ac\u2122\u3000-\u303f\u3400-\u9fff\uf900-\ufaff\uff00-\uffef]*"
 )
 UTF8 = rb"[\xc2-\xdf][\x80-\xbf]|\xe0[\xa0-\xbf][\x80-\xbf]|[\xe1-\xef][\x80-\xbf]{2}|\xf0[\x90-\xbf][\x80-\xbf]{2}"
 UTF8_WIDE = rb"\xe2\x80[\x80-\xbf]|[\xe3-\xe9][\x80-\xbf]{2}|\xef[\xbc\xbd][\x80-\xbf]|\xe0[\xb8\xb9][\x80-\xbf]"
@@ -124,15 +124,17 @@ def _undo_double(codec: str, true: str, valid: bytes, least: int, latin: bool =
 
 
 _ALL = frozenset({"zh", "en", "th"})
+#: Costs in bytes. A stretch that is valid UTF-8 of plausible letters hardly comes about by chance, so those chains
+#: start ahead of leaving a value as it stands; single-byte targets, which take nearly any bytes, must save their cost.
 STEPS = (
-    Step("utf-8 read as windows-1252", 0.01, _ALL, _undo_single("cp1252", "utf-8", UTF8, 1)),
-    Step("utf-8 read as mac-roman", 0.02, _ALL, _undo_single("mac_roman", "utf-8", UTF8, 1)),
+    Step("utf-8 read as windows-1252", -2.01, _ALL, _undo_single("cp1252", "utf-8", UTF8, 1)),
+    Step("utf-8 read as mac-roman", -2, _ALL, _undo_single("mac_roman", "utf-8", UTF8, 1)),
     Step("utf-8 read as windows-874", 0.5, frozenset({"th"}), _undo_single("cp874", "utf-8", UTF8_WIDE, 2)),
-    Step("utf-8 read as windows-874", 0.02, frozenset({"zh", "en"}), _undo_single("cp874", "utf-8", UTF8, 1)),
+    Step("utf-8 read as windows-874", -2, frozenset({"zh", "en"}), _undo_single("cp874", "utf-8", UTF8, 1)),
     Step("gbk read as windows-1252", 4, frozenset({"zh", "en"}), _undo_single("cp1252", "gbk", rb"[\xa1-\xfe][\xa1-\xfe]", 3)),
     Step("tis-620 read as windows-1252", 4, frozenset({"th"}), _undo_single("cp1252", "tis-620", rb"[\xa1-\xda\xdf-\xfb]", 4)),
     Step("utf-8 read as gb18030", 2, _ALL, _undo_double("gb18030", "utf-8", UTF8_WIDE, 3)),
-    Step("utf-8 in latin text read as gb18030", 0.02, _ALL, _undo_double("gb18030", "utf-8", UTF8, 1, latin=True)),
+    Step("utf-8 in latin text read as gb18030", -2, _ALL, _undo_double("gb18030", "utf-8", UTF8, 1, latin=True)),
     Step("utf-8 read as big5", 2, _ALL, _undo_double("big5", "utf-8", UTF8_WIDE, 3)),
     Step("tis-620 read as gb18030", 4, frozenset({"th"}), _undo_double("gb18030", "tis-620", rb"[\xa1-\xda\xdf-\xfb]", 6)),
 )
