@@ -1,4 +1,4 @@
-"""Same or near-same texts across splits: bit fingerprints, code blocks, edit-distance check."""
+"""Same or near-same texts across splits: shared pieces and bit fingerprints with proven bounds, edit-distance check."""
 
 from __future__ import annotations
 
@@ -12,13 +12,15 @@ from pyspark.sql import functions as F
 from paralode.functions.text import canonical_form, nfkc
 from paralode.session import cut
 
-BLOCKS = 32
-PER_BLOCK = 5
-SIM_BITS = 128
-#: Bits of the similarity hash that two texts may differ in and still be compared.
-RADIUS = 56
+#: Most letters of a piece.
+PIECE = 6
+#: Classes of letters in the bit fingerprint, each with a cyclic count of 8 bits.
+BINS = 64
+WORDS = BINS // 8
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
+#: Neighbours in this cycle of 16 codes differ in one bit.
+_CYCLE = np.array([(1 << v) - 1 if v <= 8 else 0xFF ^ ((1 << (v - 8)) - 1) for v in range(16)], dtype=np.uint8)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -27,36 +29,37 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-_rng = np.random.default_rng(20240607)
-_A = _rng.integers(1, 2**63, BLOCKS * PER_BLOCK, dtype=np.uint64) | np.uint64(1)
-_S = _rng.integers(1, 2**63, SIM_BITS // 64, dtype=np.uint64)
+def _letters(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
 
 
-def gram_hashes(text: str) -> np.ndarray:
-    """Distinct hashes of the character grams: 3 long where Han letters prevail, 6 long otherwise."""
-    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
-    n = 3 if (codes >= 0x3040).mean() > 0.5 else 6
-    n = min(n, len(codes))
-    h = np.zeros(len(codes) - n + 1, dtype=np.uint64)
-    for k in range(n):
-        h = h * np.uint64(0x100000001B3) + codes[k : len(codes) - n + 1 + k] * _MIX
-    return np.unique(_mix(h))
+def most_edits(n: int, max_edits: float) -> int:
+    """Edits that a text of n letters may be away from any other, which may be the longer one."""
+    return int(max_edits * n / (1 - max_edits) + 1e-9)
 
 
-def fingerprint(text: str) -> tuple[np.ndarray, list[int]]:
-    """Code blocks (each of PER_BLOCK 8-bit similarity hashes, numbered) and the two words of the bit code."""
-    grams = gram_hashes(text)
-    least = ((grams[None, :] * _A[:, None]) >> np.uint64(8)).min(axis=1)
-    code = (_mix(least) & np.uint64(0xFF)).reshape(BLOCKS, PER_BLOCK)
-    keys = np.arange(BLOCKS, dtype=np.uint64)
-    for k in range(PER_BLOCK):
-        keys = (keys << np.uint64(8)) | code[:, k]
-    words = []
-    for s in _S:
-        bits = np.unpackbits(_mix(grams ^ s).view(np.uint8).reshape(-1, 8), axis=1)
-        votes = bits.sum(axis=0, dtype=np.int64) * 2 > len(grams)
-        words.append(int(np.packbits(votes).view(np.int64)[0]))
-    return keys.view(np.int64), words
+def piece_length(n: int, max_edits: float) -> int:
+    """Letters of a piece, so that a text of n letters has a piece more than it may have edits."""
+    return min(PIECE, n // (most_edits(n, max_edits) + 1))
+
+
+def gram_hashes(codes: np.ndarray, q: int) -> np.ndarray:
+    """Hashes of the grams of q letters at every place."""
+    h = np.full(max(len(codes) - q + 1, 0), q, dtype=np.uint64)
+    for k in range(q):
+        h = h * np.uint64(0x100000001B3) + codes[k : len(codes) - q + 1 + k] * _MIX
+    return _mix(h).view(np.int64)
+
+
+def fingerprint(codes: np.ndarray) -> np.ndarray:
+    """Counts of the letters by class as bits: texts differ in at most two bits for each substitution, one for each other edit."""
+    return _CYCLE[np.bincount((codes % np.uint64(BINS)).astype(np.int64), minlength=BINS) % 16].view(np.int64)
+
+
+def places(n: int) -> tuple[int, int]:
+    """Level of a length and the width of the stretches of a text in which its grams are looked up."""
+    level = n.bit_length() - 1
+    return level, max(1, 1 << max(level - 3, 0))
 
 
 def split_overlaps(
@@ -72,12 +75,21 @@ def split_overlaps(
 
     Texts are compared without case, white space and punctuation. Equal texts
     form one class, so copies are fingerprinted and joined once. ``links`` has
-    pairs of classes (class_a in train, class_b held out, edits): those with a
-    common code block and at most RADIUS differing bits whose edit distance is
-    at most ``max_edits`` of the longer text; a class found on both sides links
-    to itself. ``members`` maps records to classes. Rows with a null split, a
-    null or contentless text take no part; an empty table gives empty results.
+    all pairs of classes (class_a in train, class_b held out, edits) whose edit
+    distance is at most ``max_edits`` of the longer text; a class found on both
+    sides links to itself. ``members`` maps records to classes. Rows with a null
+    split, a null or contentless text take no part; an empty table gives empty
+    results.
+
+    No such pair is missed. A held-out text has one more of its disjoint pieces,
+    the rarest, than it may have edits, so there is a first piece i (from 0) up
+    to whose end at most i edits lie: it is unchanged, exactly i edits lie before
+    it and the others behind. It stands in the training text at most i letters
+    further on or back, and, from the end, at most as many as the edits left.
+    Pairs that share such a piece are compared by fingerprint, then by letters.
     """
+    if not 0 <= max_edits < 0.5:
+        raise ValueError("max_edits must be at least 0 and under 0.5")
     form = canonical_form(nfkc(F.col(f"`{text_col}`")))
     side = F.when(F.col(f"`{split_col}`") == train, F.lit(1)).when(F.col(f"`{split_col}`").isin(*held_out), F.lit(2))
     rows = df.select(F.col(f"`{id_col}`").alias("record_id"), F.col(f"`{split_col}`").alias("split"), side.alias("side"), form.alias("form"))
@@ -89,33 +101,67 @@ def split_overlaps(
         .withColumn("n", F.char_length("form"))
     )
 
-    def codes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def known(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for key, n, form in zip(pdf["class"], pdf["n"], pdf["form"]):
+                codes = _letters(form)
+                level, width = places(n)
+                for q in {piece_length(m, max_edits) for m in range(n - int(max_edits * n), n + most_edits(n, max_edits) + 1)} - {0}:
+                    h = gram_hashes(codes, q)
+                    # Of a gram that comes again within a stretch, the first and the last place.
+                    at = _mix(h.view(np.uint64) + np.arange(len(h), dtype=np.uint64) // np.uint64(width) * _MIX)
+                    first = np.unique(at, return_index=True)[1]
+                    last = len(at) - 1 - np.unique(at[::-1], return_index=True)[1]
+                    rows.append((key, n, level, width, h[first], first.astype(np.int32), last.astype(np.int32)))
+            yield pd.DataFrame(rows, columns=["class", "n", "level", "width", "gram", "first", "last"])
+
+    def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for key, n, form in zip(pdf["class"], pdf["n"], pdf["form"]):
+                q, (level, width) = piece_length(n, max_edits), places(n)
+                if most_edits(n, max_edits):
+                    rows.append((key, n, level, width, q, most_edits(n, max_edits) + 1, gram_hashes(_letters(form), q)[::q]))
+            yield pd.DataFrame(rows, columns=["class", "n", "level", "width", "q", "n_pieces", "gram"])
+
+    def bits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            found = [fingerprint(t) for t in pdf["form"]]
-            yield pd.DataFrame(
-                {
-                    "class": pdf["class"],
-                    "in_train": pdf["in_train"],
-                    "in_held": pdf["in_held"],
-                    "n": pdf["n"],
-                    "w0": [w[0] for _, w in found],
-                    "w1": [w[1] for _, w in found],
-                    "keys": [k for k, _ in found],
-                }
-            )
-
-    coded = texts.mapInPandas(codes, "class binary, in_train int, in_held int, n int, w0 long, w1 long, keys array<long>")
-    blocks = cut(coded.select("class", "in_train", "in_held", "n", "w0", "w1", F.explode("keys").alias("key")))
-    a = blocks.filter("in_train = 1").select("key", *[F.col(c).alias(f"{c}_a") for c in ("class", "n", "w0", "w1")])
-    b = blocks.filter("in_held = 1").select("key", *[F.col(c).alias(f"{c}_b") for c in ("class", "n", "w0", "w1")])
-    near = (
-        a.join(b, "key")
-        .filter("class_a <> class_b")
-        .filter(F.abs(F.col("n_a") - F.col("n_b")) <= max_edits * F.greatest("n_a", "n_b"))
-        .filter(F.bit_count(F.col("w0_a").bitwiseXOR(F.col("w0_b"))) + F.bit_count(F.col("w1_a").bitwiseXOR(F.col("w1_b"))) <= RADIUS)
+            words = np.array([fingerprint(_letters(t)) for t in pdf["form"]], dtype=np.int64).reshape(-1, WORDS)
+            yield pd.DataFrame({"class": pdf["class"], "n": pdf["n"], **{f"w{k}": words[:, k] for k in range(WORDS)}})
+
+    train_rows = texts.filter("in_train = 1").select("class", "n", "form").mapInPandas(known, "class binary, n int, level int, width int, gram array<long>, first array<int>, last array<int>")
+    a = cut(train_rows).select(F.col("class").alias("class_a"), F.col("n").alias("n_a"), "level", "width", F.explode(F.arrays_zip("gram", "first", "last")).alias("g"))
+    a = a.select("class_a", "n_a", "level", F.expr("g.first div width").cast("int").alias("stretch"), "g.gram", "g.first", "g.last")
+    rare = a.groupBy("gram", "level", "stretch").agg(F.count("*").alias("n_known"))
+    held_rows = texts.filter("in_held = 1").select("class", "n", "form").mapInPandas(pieces, "class binary, n int, level int, width int, q int, n_pieces int, gram array<long>")
+    b = held_rows.select("class", "n", "level", "width", "n_pieces", "q", F.posexplode("gram").alias("k", "gram")).withColumn("at", F.col("k") * F.col("q"))
+    b = b.withColumn("stretch", F.expr("at div width").cast("int")).join(rare, ["gram", "level", "stretch"], "left")
+    b = b.groupBy("class", "n", "n_pieces").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n_known", F.lit(0)).alias("n_known"), "at", "gram"))).alias("all"))
+    chosen = F.array_sort(F.transform(F.slice("all", F.lit(1), F.col("n_pieces")), lambda x: F.struct(x["at"].alias("at"), x["gram"].alias("gram"))))
+    b = b.select(F.col("class").alias("class_b"), F.col("n").alias("n_b"), F.posexplode(chosen).alias("i", "p")).select("class_b", "n_b", "i", "p.at", "p.gram")
+    # Lengths of two levels may lie within the bound.
+    level = lambda n: F.floor(F.log2(n) + 1e-12).cast("int")
+    shortest = F.ceil((1 - max_edits) * F.col("n_b") - 1e-9)
+    longest = F.floor(F.col("n_b") / (1 - max_edits) + 1e-9)
+    b = b.withColumn("level", F.explode(F.sequence(level(shortest), level(longest))))
+    width = F.greatest(F.lit(1), F.pow(F.lit(2), F.col("level") - 3).cast("int"))
+    b = b.withColumn("stretch", F.explode(F.sequence(F.floor(F.greatest(F.col("at") - F.col("i"), F.lit(0)) / width).cast("int"), F.floor((F.col("at") + F.col("i")) / width).cast("int"))))
+    limit = F.floor(max_edits * F.greatest("n_a", "n_b")).cast("int")
+    gap = F.col("n_a") - F.col("n_b")
+    low = F.greatest(-F.col("i"), gap - limit + F.col("i"))
+    high = F.least(F.col("i"), gap + limit - F.col("i"))
+    shared = (
+        a.join(b, ["gram", "level", "stretch"])
+        .filter((F.col("class_a") != F.col("class_b")) & (F.col("i") <= limit) & (F.abs(gap) <= limit))
+        .filter((F.col("first") <= F.col("at") + high) & (F.col("last") >= F.col("at") + low) & (low <= high))
         .select("class_a", "class_b")
         .distinct()
     )
+    coded = cut(texts.select("class", "n", "form").mapInPandas(bits, "class binary, n int, " + ", ".join(f"w{k} long" for k in range(WORDS))))
+    side_of = lambda s: coded.select(*[F.col(c).alias(f"{c}_{s}") for c in coded.columns])
+    apart = sum((F.bit_count(F.col(f"w{k}_a").bitwiseXOR(F.col(f"w{k}_b"))) for k in range(WORDS)), F.lit(0))
+    near = shared.join(side_of("a"), "class_a").join(side_of("b"), "class_b").filter(apart + F.abs(gap) <= 2 * limit).select("class_a", "class_b")
     limit = F.floor(max_edits * F.greatest(F.char_length("form_a"), F.char_length("form_b"))).cast("int")
     checked = (
         near.join(texts.select(F.col("class").alias("class_a"), F.col("form").alias("form_a")), "class_a")

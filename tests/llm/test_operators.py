@@ -181,6 +181,30 @@ def test_overlaps_find_planted_pairs(spark):
         assert len(x) > 10_000 or _lev(x, y) <= 0.1 * max(len(x), len(y))
 
 
+def test_overlaps_miss_no_pair_of_spread_edits(spark):
+    rng = random.Random(8)
+    letters = {"en": "etaoinshrdlucmfwyp", "th": "".join(chr(c) for c in range(0x0E01, 0x0E2F)), "zh": "".join(chr(0x4E00 + 7 * k) for k in range(300))}
+    rows, want = [], set()
+    for lang, alphabet in letters.items():
+        words = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(2, 8))) for _ in range(60)]
+        for i in range(60):
+            t = "".join(rng.choice(words) for _ in range(40))[: [9, 10, 11, 17, 19, 40, 64, 100, 130, 180][i % 10]]
+            edits = int(len(t) * 0.1)
+            chars = list(t)
+            for k in range(edits):
+                p = min(len(chars) - 1, int((k + 0.5) * len(chars) / edits))
+                op = rng.randrange(3) if i % 2 else 0
+                chars[p : p + 1] = [["x"], [], [chars[p], "x"]][op]
+            rows += [(f"t{lang}{i}", t, "train"), (f"v{lang}{i}", "".join(chars), "test")]
+    train, held = [r for r in rows if r[2] == "train"], [r for r in rows if r[2] == "test"]
+    for x, s, _ in train:
+        for y, t, _ in held:
+            if abs(len(s) - len(t)) <= 0.1 * max(len(s), len(t)) and _lev(s, t) <= int(0.1 * max(len(s), len(t))):
+                want.add((x, y))
+    got = {(r[0], r[1]) for r in overlap.overlap_pairs(overlap.split_overlaps(spark.createDataFrame(rows, "record_id string, source_text string, split string"))).collect()}
+    assert len(want) >= 120 and got == want
+
+
 def test_overlaps_of_copies_and_nothing(spark):
     schema = "record_id string, source_text string, split string, source_file string"
     rows = [(f"t{i}", "Same text here, again and again.", "train", "a") for i in range(30)] + [(f"v{i}", "same TEXT here again and again", "test", "b") for i in range(20)]
