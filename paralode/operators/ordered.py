@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -58,12 +58,15 @@ def document_islands(df: DataFrame, file: str, line: str, document: str) -> Data
     return islands(df, file, line, F.col(document).isNotNull() & (F.col(document) == before))
 
 
-def contiguous_islands(df: DataFrame, file: str, start: str, end: str, valid: Column) -> DataFrame:
-    """Runs of valid rows whose lines follow each other without a gap; a rejected row breaks the run."""
-    w = Window.partitionBy(file).orderBy(start)
+def contiguous_islands(df: DataFrame, file: str, start: str, end: str, valid: Column, order: str | None = None) -> DataFrame:
+    """Runs of valid rows whose lines follow each other without a gap; a rejected row breaks the run.
+
+    ``order`` settles the order where lines may be repeated.
+    """
+    w = Window.partitionBy(file).orderBy(order or start)
     ok = df.withColumn("__ok", F.coalesce(valid, F.lit(False)))
     same = F.col("__ok") & F.coalesce(F.lag("__ok").over(w), F.lit(False)) & (F.col(start) == F.lag(end).over(w) + 1)
-    return islands(ok, file, start, same).drop("__ok")
+    return islands(ok, file, order or start, same).drop("__ok")
 
 
 def running_cut(df: DataFrame, cost: str, order: Sequence[Column], budget: float, *keys: str) -> DataFrame:
@@ -116,32 +119,36 @@ def greedy_blocks(df: DataFrame, group: Sequence[str], order: str, measures: Seq
 
     A block closes when every measure has its least; a block in which a measure
     passes its most is ``too_long``; what is left at the end is ``incomplete``.
-    Islands are runs within one file and bounded by it.
+    Islands are runs within one file. Their rows stream in order and the open
+    block is carried from batch to batch, so an island may be of any length.
     """
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order)
-        rows, block, start, n, sums = [], 0, None, 0, [0] * len(measures)
-        values = pdf[list(measures)].to_numpy()
-        places = pdf[order].to_numpy()
-        for place, v in zip(places, values):
-            start = place if n == 0 else start
-            n += 1
-            sums = [int(s + x) for s, x in zip(sums, v)]
-            over = any(s > m for s, m in zip(sums, most))
-            if over or all(s >= m for s, m in zip(sums, least)):
-                rows.append((block, start, place, n, *sums, "too_long" if over else "accepted"))
-                block, n, sums = block + 1, 0, [0] * len(measures)
+    kinds = dict(df.dtypes)
+    names = [*group, "block", "first_row", "last_row", "n_rows", *measures, "outcome"]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key, block, start, last, n, sums = None, 0, None, None, 0, [0] * len(measures)
+        for pdf in batches:
+            rows = []
+            for row in pdf.itertuples(index=False, name=None):
+                at, place, v = tuple(None if pd.isna(x) else x for x in row[: len(group)]), row[len(group)], row[len(group) + 1 :]
+                if at != key:
+                    if n:
+                        rows.append((*key, block, start, last, n, *sums, "incomplete"))
+                    key, block, n, sums = at, 0, 0, [0] * len(measures)
+                start, last = place if n == 0 else start, place
+                n += 1
+                sums = [int(s + x) for s, x in zip(sums, v)]
+                over = any(s > m for s, m in zip(sums, most))
+                if over or all(s >= m for s, m in zip(sums, least)):
+                    rows.append((*key, block, start, place, n, *sums, "too_long" if over else "accepted"))
+                    block, n, sums = block + 1, 0, [0] * len(measures)
+            yield pd.DataFrame(rows, columns=names)
         if n:
-            rows.append((block, start, places[-1], n, *sums, "incomplete"))
-        out = pd.DataFrame(rows, columns=["block", "first_row", "last_row", "n_rows", *measures, "outcome"])
-        for g in group:
-            out[g] = pdf[g].iloc[0] if len(pdf) else None
-        return out
+            yield pd.DataFrame([(*key, block, start, last, n, *sums, "incomplete")], columns=names)
 
-    kinds = dict(df.dtypes)
-    schema = "block int, first_row long, last_row long, n_rows int, " + ", ".join(f"{m} long" for m in measures) + ", outcome string, " + ", ".join(f"{g} {kinds[g]}" for g in group)
-    return df.select(*group, F.col(order).cast("long").alias(order), *measures).groupBy(*group).applyInPandas(run, schema)
+    schema = ", ".join(f"{g} {kinds[g]}" for g in group) + ", block int, first_row long, last_row long, n_rows int, " + ", ".join(f"{m} long" for m in measures) + ", outcome string"
+    rows = df.select(*group, F.col(order).cast("long").alias(order), *measures).repartition(*group).sortWithinPartitions(*group, order)
+    return rows.mapInPandas(run, schema).select("block", "first_row", "last_row", "n_rows", *measures, "outcome", *group)
 
 
 def anchored_intervals(df: DataFrame, group: Sequence[str], line: str, anchor: str, bad: str, zh: str, en: str, window: int = 2, least: int = 100, target: int = 150, most: int = 220, least_words: int = 20) -> DataFrame:

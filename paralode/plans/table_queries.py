@@ -349,23 +349,21 @@ def packed_chunks(spark: SparkSession, d: str) -> DataFrame:
 
 @register("n8_greedy_blocks")
 def greedy_blocks(spark: SparkSession, d: str) -> DataFrame:
-    rows = _lines(spark, d).filter("document_id is not null").select(
-        "document_id", F.col("s").alias("line"), scripts.han("zh_text").alias("han"), scripts.english_words("en_text").alias("words"), F.lit(0).alias("part")
-    )
-    # A document that holds a tenth of all rows is cut into runs of lines, as a file would cut it.
-    parted = rows.withColumn("part", F.floor(F.col("line") / 10_000).cast("int"))
-    return ordered.greedy_blocks(parted, ["document_id", "part"], "line", ["han", "words"], [100, 30], [220, 180])
+    rows = _lines(spark, d).withColumn("at", F.struct("s", "pool_record_id"))
+    runs = ordered.contiguous_islands(rows, "f", "s", "e", F.col("zh_text").isNotNull() & F.col("en_text").isNotNull(), "at")
+    sized = runs.select("f", "island", F.col("s").alias("line"), scripts.han("zh_text").alias("han"), scripts.english_words("en_text").alias("words"))
+    return ordered.greedy_blocks(sized, ["f", "island"], "line", ["han", "words"], [100, 30], [220, 180])
 
 
 @register("n9_anchored_intervals")
 def anchored_intervals(spark: SparkSession, d: str) -> DataFrame:
-    rows = _lines(spark, d).filter("document_id is not null")
-    rows = rows.groupBy("f", F.floor(F.col("s") / 10_000).cast("int").alias("part"), "s").agg(F.min_by(F.struct("zh_text", "en_text"), "pool_record_id").alias("r"))
+    rows = _lines(spark, d).groupBy("f", "s").agg(F.min_by(F.struct("document_id", "zh_text", "en_text"), "pool_record_id").alias("r"))
+    rows = ordered.document_islands(rows.withColumn("document_id", F.col("r.document_id")), "f", "s", "document_id").filter("document_id is not null")
     rows = rows.select(
-        "f", "part", F.col("s").alias("line"), F.col("r.en_text").rlike("(?i)budget|software|school").alias("anchor"), F.coalesce(gates.sentence_gate("r.zh_text", "r.en_text").isNotNull(), F.lit(False)).alias("bad"),
+        "f", "island", F.col("s").alias("line"), F.col("r.en_text").rlike("(?i)budget|software|school").alias("anchor"), F.coalesce(gates.sentence_gate("r.zh_text", "r.en_text").isNotNull(), F.lit(False)).alias("bad"),
         scripts.han("r.zh_text").alias("han"), scripts.english_words("r.en_text").alias("words"),
     )
-    return ordered.anchored_intervals(rows.withColumn("anchor", F.coalesce("anchor", F.lit(False))), ["f", "part"], "line", "anchor", "bad", "han", "words", least=40)
+    return ordered.anchored_intervals(rows.withColumn("anchor", F.coalesce("anchor", F.lit(False))), ["f", "island"], "line", "anchor", "bad", "han", "words", least=40)
 
 
 @register(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from paralode.functions import scripts
 from paralode.operators import aggregate, dedup, domains, gates, joins, ordered, select
+from paralode.plans import table_queries
 
 
 def rows_of(df, *columns):
@@ -130,6 +131,20 @@ def test_islands_and_blocks(spark):
     assert ordered.greedy_blocks(sizes.limit(0), ["g"], "line", ["han", "words"], [1, 1], [2, 2]).count() == 0
 
 
+def test_blocks_and_intervals_cross_round_line_numbers(spark, tmp_path):
+    zh, en = "银行宣布今年将为公众降低贷款利率，学校也将为学生开设新的课程，工程师正在测试新的软件系统。", "The bank announced that it would lower interest rates on loans this year, and the school will offer new courses for students."
+    rows = [(f"r{line}", "d", ("f", line, line), zh, en) for line in (9_998, 9_999, 10_000, 10_001, 10_002)]
+    rows += [("x", "d", ("g", 10_003, 10_003), zh, en), ("y", "e", ("f", 10_003, 10_003), None, en), ("z", None, ("f", 10_005, 10_005), zh, en)]
+    pool = spark.createDataFrame(rows, "pool_record_id string, document_id string, provenance struct<source_file:string,start_line:long,end_line:long>, zh_text string, en_text string")
+    pool.write.parquet(str(tmp_path / "zh_en_pool.parquet"))
+    blocks = table_queries.greedy_blocks(spark, str(tmp_path))
+    assert set(rows_of(blocks, "f", "first_row", "last_row", "n_rows", "outcome")) == {
+        ("f", 9_998, 10_000, 3, "accepted"), ("f", 10_001, 10_002, 2, "incomplete"), ("f", 10_003, 10_003, 1, "incomplete"), ("f", 10_005, 10_005, 1, "incomplete"), ("g", 10_003, 10_003, 1, "incomplete"),
+    }
+    got = rows_of(table_queries.anchored_intervals(spark, str(tmp_path)), "f", "anchor_line", "start_line", "end_line")
+    assert any(f == "f" and start < 10_000 <= end for f, _, start, end in got) and all(end <= 10_002 for f, _, _, end in got if f == "f")
+
+
 def test_anchored_intervals(spark):
     lines = [(1, False, False, 60, 12), (2, True, False, 70, 12), (3, False, False, 60, 12), (4, True, False, 120, 5), (5, False, True, 90, 9), (9, True, False, 300, 30)]
     data = spark.createDataFrame([("d", *x) for x in lines], "d string, line int, anchor boolean, bad boolean, han int, words int")
