@@ -88,6 +88,14 @@ def script_profile(c: Column | str, han_variant: str = "audit") -> Column:
     )
 
 
+def language(label: Column | str, text: Column | str) -> Column:
+    """Main language of a label in any spelling (en, EN, en-US, zh_CN); without a label that of the script most letters have, zh, th or en."""
+    main = F.regexp_extract(F.lower(F.coalesce(_col(label), F.lit(""))), r"^[\s\p{Z}]*([a-z]+)", 1)
+    of_han, of_thai, of_latin = han(text), thai(text), latin(text)
+    script = F.when((of_thai > of_han) & (of_thai > of_latin), "th").when((of_han > of_thai) & (of_han > of_latin), "zh").when((of_latin > of_han) & (of_latin > of_thai), "en")
+    return F.when((main != "") & ~main.isin("und", "unknown"), main).otherwise(script)
+
+
 def repeat_score(c: Column | str, n: int, compact: bool = True) -> Column:
     """One minus the share of distinct n-grams of characters; texts shorter than n score 0 for no gram."""
     c = F.coalesce(_col(c), F.lit(""))

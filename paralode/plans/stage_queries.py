@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paralode.catalog import register, table
-from paralode.functions import urls
-from paralode.operators import aggregate, translation
+from paralode.functions import scripts, urls
+from paralode.operators import aggregate, joins, translation
 from paralode.plans import pipelines
 from paralode.plans.gate_queries import LIMITS, _POOL_GATE
 from paralode.plans.text_queries import WORD, n_of
@@ -32,7 +32,17 @@ def pool_accounts(spark: SparkSession, d: str) -> DataFrame:
 
 @register("w6_audit")
 def audit(spark: SparkSession, d: str) -> DataFrame:
-    out = pipelines.audit(table(spark, d, "zh_th_final").filter("source_lang = 'zh-CN'"))
+    rows = table(spark, d, "zh_th_final").withColumns({"source_lang": scripts.language("source_lang", "source_text"), "target_lang": scripts.language("target_lang", "target_text")})
+    sides = joins.swap_to_sides(rows, "zh", "th", "zh_side", "th_side")
+    # Rows of another or an unclear direction are audited as they stand: a row that names Thai only as its source is turned.
+    turned = F.coalesce((F.col("source_lang") == "th") | (F.col("target_lang") == "zh"), F.lit(False)) & F.coalesce(F.col("source_lang") != "zh", F.lit(True))
+    sides = sides.withColumns(
+        {
+            "zh_side": F.when(F.col("direction_known"), F.col("zh_side")).when(turned, F.col("target_text")).otherwise(F.col("source_text")),
+            "th_side": F.when(F.col("direction_known"), F.col("th_side")).when(turned, F.col("source_text")).otherwise(F.col("target_text")),
+        }
+    )
+    out = pipelines.audit(sides, zh="zh_side", th="th_side")
     return out.select("record_id", "decision", *[F.array_join(c, " ").alias(c) for c in ("reject_reasons", "review_reasons", "flags")])
 
 
@@ -49,8 +59,8 @@ def sft_rejects(spark: SparkSession, d: str) -> DataFrame:
 
 @register("s11_mono_corpus")
 def mono_corpus(spark: SparkSession, d: str) -> DataFrame:
-    pages = table(spark, d, "documents").filter("lang = 'th'").select(F.col("doc_id").alias("page_id"), "title", "text")
-    return pipelines.mono_corpus(pages)["accepted"].select("page_id", "paragraph", "text_sha256")
+    pages = table(spark, d, "documents").filter(scripts.language("lang", "text") == "th").select(F.col("doc_id").alias("page_id"), "title", "text")
+    return pipelines.mono_corpus(pages, most=None)["accepted"].select("page_id", "paragraph", "text_sha256")
 
 
 @register(

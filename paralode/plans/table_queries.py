@@ -344,7 +344,7 @@ def document_islands(spark: SparkSession, d: str) -> DataFrame:
 @register("n7_packed_chunks")
 def packed_chunks(spark: SparkSession, d: str) -> DataFrame:
     chunks = ordered.pack_units(scripts.english_sentences("text"), scripts.english_words, 60, 110)
-    return table(spark, d, "documents").filter("lang = 'en'").select("doc_id", F.posexplode(chunks).alias("chunk", "text"))
+    return table(spark, d, "documents").filter(scripts.language("lang", "text") == "en").select("doc_id", F.posexplode(chunks).alias("chunk", "text"))
 
 
 @register("n8_greedy_blocks")

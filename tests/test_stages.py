@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from paralode.operators import translation as tr
-from paralode.plans import pipelines
+from paralode.plans import pipelines, stage_queries, table_queries
 from paralode.streaming import events
 
 ZH = "银行宣布今年将为公众降低贷款利率，学校也将为学生开设新的课程，工程师正在测试新的软件系统。"
@@ -94,6 +94,19 @@ def test_audit_stage(spark):
     assert out["1"]["decision"] == "accept" and "duplicate_pair" in out["2"]["reject_reasons"] and "thai_latin_mixed_token" in out["3"]["reject_reasons"] and "empty_thai" in out["4"]["reject_reasons"]
 
 
+def test_stages_take_every_direction_and_label(spark, tmp_path):
+    th = "ธนาคารประกาศว่าจะลดอัตราดอกเบี้ยให้กับประชาชนในปีนี้"
+    final = [("1", "c1", "zh-CN", "th", ZH, th), ("2", "c2", "th", "zh_CN", th, ZH), ("3", "c3", None, None, th * 2, ZH * 2), ("4", "c4", "zh-CN", "en", ZH * 3, EN)]
+    spark.createDataFrame(final, "record_id string, candidate_id string, source_lang string, target_lang string, source_text string, target_text string").write.parquet(str(tmp_path / "zh_th_final.parquet"))
+    out = {r["record_id"]: r for r in stage_queries.audit(spark, str(tmp_path)).collect()}
+    assert set(out) == {"1", "2", "3", "4"} and "duplicate_pair" in out["2"]["reject_reasons"] and out["3"]["decision"] == out["1"]["decision"] == "accept" and out["4"]["decision"] == "reject"
+    long = " ".join([EN] * 4)
+    docs = [("a", "en", "t", long), ("b", "EN", "t", long), ("c", "en-US", "t", long), ("d", None, "t", long), ("e", "TH", "t", th), ("f", None, "t", th + "ๆ"), ("g", "zh", "t", ZH), ("h", None, "t", None)]
+    spark.createDataFrame(docs, "doc_id string, lang string, title string, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    assert {r["doc_id"] for r in table_queries.packed_chunks(spark, str(tmp_path)).collect()} == {"a", "b", "c", "d"}
+    assert {r["page_id"] for r in stage_queries.mono_corpus(spark, str(tmp_path)).collect()} == {"e", "f"}
+
+
 def test_windowed_stream(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in/a.json").write_text('{"ts":"2024-01-01T00:10:00","k":"a"}\n{"ts":"2024-01-01T00:50:00","k":"a"}\n{"ts":"2024-01-01T05:00:00","k":"b"}\n')
