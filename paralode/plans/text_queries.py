@@ -227,6 +227,12 @@ def page_addresses(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").filter("title is not null").filter(F.col("title").rlike("^[A-Za-z0-9 ]*$")).select("doc_id", urls.page_url("title", "https://wiki.example/").alias("address"))
 
 
+@register("c32_all_page_addresses")
+def all_page_addresses(spark: SparkSession, d: str) -> DataFrame:
+    """Addresses of all titles; the SQL of c32_page_addresses cannot encode those with other characters alike."""
+    return table(spark, d, "documents").filter("title is not null").select("doc_id", urls.page_url("title", "https://wiki.example/").alias("address"))
+
+
 @register(
     "c33_canonical_json",
     """SELECT pool_record_id, '{"data_origin":"' || data_origin || '","dataset_name":"' || dataset_name || '"}' AS lineage FROM zh_en_pool WHERE data_origin IS NOT NULL AND dataset_name IS NOT NULL""",

@@ -2,11 +2,13 @@
 
 import re
 import unicodedata
+from urllib.parse import quote
 
 import pytest
 from pyspark.sql import functions as F
 
 from paralode.functions import keys, normalize, scripts, text, urls, wiki
+from paralode.plans import text_queries
 
 SAMPLES = [None, "", "  a b　c ", "é​x﻿", "ＡＢＣ１２３", "ﬁ ½ Straße İ", "line\r\nbreak\x07 \x85z", "&amp; &lt;b&gt; <i>x</i>", "学校 school “q”", "ก็ น้ำ ํา", "𠀀𠀁 x", "a‍b"]
 
@@ -93,3 +95,10 @@ def test_wiki(spark):
 @pytest.mark.parametrize("opener, closer, source, left", [("{{", "}}", "a{{b{{c}}d}}e", "ae"), ("{{", "}}", "a{{b", "a{{b"), ("{|", "|}", "x{|y|}z|}", "xz|}")])
 def test_balanced(opener, closer, source, left):
     assert wiki.drop_balanced(source, opener, closer) == left
+
+
+def test_page_addresses_of_all_titles(spark, tmp_path):
+    titles = {"a": "Bank of China", "b": "银行", "c": "ไทย 1", "d": "A+B & C/D?", "e": None, "f": "50%"}
+    spark.createDataFrame(list(titles.items()), "doc_id string, title string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"]: r["address"] for r in text_queries.all_page_addresses(spark, str(tmp_path)).collect()}
+    assert got == {k: "https://wiki.example/" + quote(t.replace(" ", "_"), safe="") for k, t in titles.items() if t is not None}
