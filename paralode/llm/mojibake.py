@@ -1,9 +1,11 @@
 """Text garbled by a wrong character encoding: found and restored by minimum description length.
 
-Each candidate undoes one wrong decoding over the stretches of a value where
-that is possible. Candidates are compressed with zstandard under a dictionary
-of each language; the shortest description, cost of the chain included, wins
-over the value as it stands.
+A step undoes one wrong decoding over the stretches of a value where that is
+possible; every text that a chain of steps leads to is a candidate. Candidates
+and the value itself are compressed with zstandard under a dictionary of each
+language; the shortest description, cost of the chain included, wins. Values
+that lost characters for good (U+FFFD, runs of question marks) are named as
+``damaged`` beside that: no decoding brings those back.
 """
 
 from __future__ import annotations
@@ -22,6 +24,8 @@ from paralode.operators.select import least_hashed
 LOST = "\ufffd"
 #: Share of the plain length in a description.
 PLAIN_SHARE = 0.05
+#: The first bytes of a dictionary that zstandard trained.
+TRAINED = b"\x37\xa4\x30\xec"
 #: Runs of question marks that no sentence has: what is left where an encoder had no character.
 QUESTION_RUN = re.compile(r"\?{4,}|(?:\?[^?\s]{0,3}){6,}")
 CONTROL = re.compile("[\u0080-\u009f]")
@@ -124,17 +128,17 @@ def _undo_double(codec: str, true: str, valid: bytes, least: int, latin: bool =
 
 
 _ALL = frozenset({"zh", "en", "th"})
-#: Costs in bytes. A stretch that is valid UTF-8 of plausible letters hardly comes about by chance, so those chains
-#: start ahead of leaving a value as it stands; single-byte targets, which take nearly any bytes, must save their cost.
+#: Costs in bytes, all above nothing: a chain must pay for itself in the description of the text. UTF-8 read as a single
+#: byte code is the commonest damage and costs least; single-byte targets take nearly any bytes and cost most.
 STEPS = (
-    Step("utf-8 read as windows-1252", -2.01, _ALL, _undo_single("cp1252", "utf-8", UTF8, 1)),
-    Step("utf-8 read as mac-roman", -2, _ALL, _undo_single("mac_roman", "utf-8", UTF8, 1)),
-    Step("utf-8 read as windows-874", 0.5, frozenset({"th"}), _undo_single("cp874", "utf-8", UTF8_WIDE, 2)),
-    Step("utf-8 read as windows-874", -2, frozenset({"zh", "en"}), _undo_single("cp874", "utf-8", UTF8, 1)),
+    Step("utf-8 read as windows-1252", 0.5, _ALL, _undo_single("cp1252", "utf-8", UTF8, 1)),
+    Step("utf-8 read as mac-roman", 0.55, _ALL, _undo_single("mac_roman", "utf-8", UTF8, 1)),
+    Step("utf-8 read as windows-874", 2, frozenset({"th"}), _undo_single("cp874", "utf-8", UTF8_WIDE, 2)),
+    Step("utf-8 read as windows-874", 0.55, frozenset({"zh", "en"}), _undo_single("cp874", "utf-8", UTF8, 1)),
     Step("gbk read as windows-1252", 4, frozenset({"zh", "en"}), _undo_single("cp1252", "gbk", rb"[\xa1-\xfe][\xa1-\xfe]", 3)),
     Step("tis-620 read as windows-1252", 4, frozenset({"th"}), _undo_single("cp1252", "tis-620", rb"[\xa1-\xda\xdf-\xfb]", 4)),
     Step("utf-8 read as gb18030", 2, _ALL, _undo_double("gb18030", "utf-8", UTF8_WIDE, 3)),
-    Step("utf-8 in latin text read as gb18030", -2, _ALL, _undo_double("gb18030", "utf-8", UTF8, 1, latin=True)),
+    Step("utf-8 in latin text read as gb18030", 0.55, _ALL, _undo_double("gb18030", "utf-8", UTF8, 1, latin=True)),
     Step("utf-8 read as big5", 2, _ALL, _undo_double("big5", "utf-8", UTF8_WIDE, 3)),
     Step("tis-620 read as gb18030", 4, frozenset({"th"}), _undo_double("gb18030", "tis-620", rb"[\xa1-\xda\xdf-\xfb]", 6)),
 )
@@ -143,14 +147,17 @@ STEPS = (
 class Describer:
     """Length of a text in bytes under the best of the language dictionaries.
 
-    Whole bytes are too coarse for a single accent, so a small share of the
-    plain length is added: of two texts that compress alike the shorter wins.
+    Dictionaries that zstandard trained bring tables of their own for single
+    characters, so that rare ones are dear and the usual ones of a language
+    cheap. Of two texts that compress alike the shorter wins by a small share
+    of the plain length.
     """
 
     def __init__(self, dictionaries: dict[str, bytes], level: int = 3):
         self.compressors = []
         for data in dictionaries.values():
-            d = zstandard.ZstdCompressionDict(data, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            kind = zstandard.DICT_TYPE_FULLDICT if data[:4] == TRAINED else zstandard.DICT_TYPE_RAWCONTENT
+            d = zstandard.ZstdCompressionDict(data, dict_type=kind)
             d.precompute_compress(level=level)
             self.compressors.append(zstandard.ZstdCompressor(dict_data=d, level=level, write_content_size=False, write_checksum=False, write_dict_id=False))
 
@@ -159,22 +166,34 @@ class Describer:
         return min((len(c.compress(raw)) for c in self.compressors), default=len(raw)) + PLAIN_SHARE * len(raw)
 
 
-def restore(text: str, language: str, describe: Describer, depth: int = 3) -> tuple[str, list[str]]:
-    """The text as it once was and the chain of wrong decodings undone; unchanged with an empty chain where none is shorter."""
-    chain: list[str] = []
-    length = None
-    for _ in range(depth):
-        candidates = [(s, t) for s in STEPS if language in s.languages and (t := s.undo(text)) is not None and t != text]
-        if not candidates:
-            break
-        if length is None:
-            length = float(describe(text))
-        best, step, fixed = min((describe(t) + s.cost, s.name, t) for s, t in candidates)
-        if best >= length:
-            break
-        text, length = fixed, best
-        chain.append(step)
-    return text, chain
+def restore(text: str, language: str, describe: Callable[[str], float]) -> tuple[str, list[str]]:
+    """The text as it once was and the chain of wrong decodings undone; unchanged with an empty chain where none is shorter.
+
+    Every text that any chain of steps leads to is described, and the chain with
+    the least description and cost wins over the value as it stands. A chain is
+    carried on until its cost alone exceeds the best found, so none is too long.
+    """
+    reached: dict[str, tuple[float, list[str]]] = {text: (0.0, [])}
+    open_ = [text]
+    best: tuple[float, str] | None = None
+    while open_:
+        now = open_.pop()
+        cost, chain = reached[now]
+        for step in STEPS:
+            if language not in step.languages or (fixed := step.undo(now)) is None or fixed == now:
+                continue
+            total = cost + step.cost
+            if fixed in reached and reached[fixed][0] <= total:
+                continue
+            if best is None:
+                best = (float(describe(text)), text)
+            if total >= best[0]:
+                continue
+            reached[fixed] = (total, [*chain, step.name])
+            open_.append(fixed)
+            best = min(best, (describe(fixed) + total, fixed))
+    fixed = best[1] if best else text
+    return fixed, reached[fixed][1]
 
 
 def is_lossy(text: str) -> bool:
@@ -189,9 +208,10 @@ def examine(text: str | None, language: str, describe: Describer) -> tuple[str,
     if text.isascii():
         return ("damaged", "", text) if is_lossy(text) else None
     fixed, chain = restore(text, language, describe)
-    lossy = is_lossy(text) or is_lossy(fixed) or bool(CONTROL.search(fixed))
+    lossy = is_lossy(text) or is_lossy(fixed)
     if not chain and not lossy:
         return None
+    lossy = lossy or bool(CONTROL.search(fixed))
     return ("damaged" if lossy else "restored", " < ".join(chain), fixed)
 
 
@@ -203,19 +223,27 @@ CLEAN = {
 }
 
 
-def language_dictionaries(columns: Sequence[tuple[DataFrame, str, str]], sample_rows: int = 400, max_bytes: int = 65_536) -> dict[str, bytes]:
-    """One raw dictionary per language from the ``sample_rows`` clean values with the least hash.
+def language_dictionaries(columns: Sequence[tuple[DataFrame, str, str]], sample_rows: int = 1000, max_bytes: int = 65_536) -> dict[str, bytes]:
+    """One zstandard dictionary per language, trained on the ``sample_rows`` clean values of each column with the least hash.
 
     ``columns`` lists (table, column, language). The bound is the only thing
-    sampled; every value is examined.
+    sampled; every value is examined. Where there are too few values to train
+    on, they are the dictionary themselves.
     """
-    out: dict[str, bytes] = {}
+    samples: dict[str, list[bytes]] = {}
     for df, column, language in columns:
         rows = least_hashed(df, column, sample_rows, F.col("value").rlike(CLEAN[language])).collect()
-        data = "\n".join(r["value"] for r in rows).encode()
-        if data:
-            out[language] = (out.get(language, b"") + data)[-max_bytes:]
-    return out
+        samples.setdefault(language, []).extend(r["value"].encode() for r in rows)
+    return {language: train_dictionary(texts, max_bytes) for language, texts in samples.items() if texts}
+
+
+def train_dictionary(texts: Sequence[bytes], max_bytes: int) -> bytes:
+    """A dictionary of at most ``max_bytes`` for texts of one language."""
+    size = min(max_bytes, sum(map(len, texts)) // 4)
+    try:
+        return zstandard.train_dictionary(size, list(texts), k=256, d=8).as_bytes()
+    except zstandard.ZstdError:
+        return b"\n".join(texts)[-max_bytes:]
 
 
 def damaged_values(df: DataFrame, table_name: str, id_col: str, fields: dict[str, str], dictionaries: dict[str, bytes]) -> DataFrame:

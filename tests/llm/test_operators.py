@@ -280,6 +280,35 @@ def test_round_trips(text, language, damage):
     assert mojibake.examine(whole, language, describe) is None
 
 
+def test_description_length_decides():
+    """With a describer that says the same of every text nothing is restored; without dictionaries what grows is not."""
+    damaged = [_sloppy(ZH.encode(), "cp1252"), _sloppy(TH.encode(), "mac_roman"), EN.encode().decode("mac_roman")]
+    for text, language in zip(damaged, ("zh", "th", "en")):
+        assert mojibake.restore(text, language, lambda t: 7.0) == (text, [])
+        assert mojibake.examine(text, language, lambda t: 7.0) is None
+    thai = TH.encode("tis-620").decode("latin-1")
+    full = mojibake.Describer({"th": TH.encode() * 3})
+    assert mojibake.examine(thai, "th", full)[2] == TH
+    assert mojibake.examine(thai, "th", mojibake.Describer({})) is None or mojibake.examine(thai, "th", mojibake.Describer({}))[2] != TH
+    assert all(step.cost > 0 for step in mojibake.STEPS)
+
+
+def test_every_wrong_decoding_of_a_chain_is_undone():
+    text = ZH
+    for _ in range(5):
+        text = _sloppy(text.encode(), "cp1252")
+    status, chain, fixed = mojibake.examine(text, "zh", mojibake.Describer({"zh": ZH.encode() * 3}))
+    assert (status, fixed, chain.count("<")) == ("restored", ZH, 4)
+
+
+def test_trained_dictionaries():
+    rng = random.Random(1)
+    texts = ["".join(rng.choice(["银行", "学校", "宣布", "降低", "利率", "系统", "课程", "，"]) for _ in range(30)).encode() for _ in range(400)]
+    trained = mojibake.train_dictionary(texts, 65_536)
+    assert trained[:4] == mojibake.TRAINED and mojibake.train_dictionary(texts[:2], 65_536)
+    assert mojibake.Describer({"zh": trained})("银行宣布降低利率") < mojibake.Describer({})("银行宣布降低利率")
+
+
 def test_damaged_values(spark):
     rows = [("1", ZH, EN), ("2", ZH.replace("利率", "��"), EN), ("3", None, ""), ("4", "系统" + "?" * 12, "Is this so? Really?? Yes!"), ("5", "café 龘靐", "naïve Zoë — “déjà vu”…"), ("6", LONG, LONG), ("2", ZH.replace("利率", "��"), EN)]
     data = spark.createDataFrame([(*r, "x") for r in rows], "pool_record_id string, zh_text string, en_text string, chain string")
