@@ -14,9 +14,12 @@ from paralode.session import cut
 
 #: Most letters of a piece.
 PIECE = 6
-#: Classes of letters in the bit fingerprint, each with a cyclic count of 8 bits.
+#: Classes of letters in the first part of the bit fingerprint, each with a cyclic count of 8 bits.
 BINS = 64
-WORDS = BINS // 8
+#: Classes of pairs of neighbouring letters in its second part, each with the parity of its count.
+PAIRS = 1024
+LETTER_WORDS, PAIR_WORDS = BINS // 8, PAIRS // 64
+WORDS = LETTER_WORDS + PAIR_WORDS
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 #: Neighbours in this cycle of 16 codes differ in one bit.
@@ -52,8 +55,17 @@ def gram_hashes(codes: np.ndarray, q: int) -> np.ndarray:
 
 
 def fingerprint(codes: np.ndarray) -> np.ndarray:
-    """Counts of the letters by class as bits: texts differ in at most two bits for each substitution, one for each other edit."""
-    return _CYCLE[np.bincount((codes % np.uint64(BINS)).astype(np.int64), minlength=BINS) % 16].view(np.int64)
+    """Bit code of a text, two parts with a bound each.
+
+    Counts of the letters by class: texts differ in at most two bits for each
+    substitution, one for each other edit. Parities of the counts of
+    neighbouring letters by class: an edit takes two pairs away at most and
+    adds two, so texts differ in at most four bits for each.
+    """
+    letters = _CYCLE[np.bincount((codes % np.uint64(BINS)).astype(np.int64), minlength=BINS) % 16]
+    pairs = gram_hashes(codes, 2).view(np.uint64) >> np.uint64(54)
+    parity = np.packbits(np.bincount(pairs.astype(np.int64), minlength=PAIRS) % 2 == 1)
+    return np.concatenate([letters.view(np.int64), parity.view(np.int64)])
 
 
 def places(n: int) -> tuple[int, int]:
@@ -93,10 +105,10 @@ def split_overlaps(
     form = canonical_form(nfkc(F.col(f"`{text_col}`")))
     side = F.when(F.col(f"`{split_col}`") == train, F.lit(1)).when(F.col(f"`{split_col}`").isin(*held_out), F.lit(2))
     rows = df.select(F.col(f"`{id_col}`").alias("record_id"), F.col(f"`{split_col}`").alias("split"), side.alias("side"), form.alias("form"))
-    rows = rows.filter("side is not null and form <> ''")
-    members = cut(rows.select("record_id", "split", "side", F.unhex(F.md5("form")).alias("class")))
+    rows = cut(rows.filter("side is not null and form <> ''").withColumn("class", F.unhex(F.md5("form"))))
+    members = rows.select("record_id", "split", "side", "class")
     texts = cut(
-        rows.groupBy(F.unhex(F.md5("form")).alias("class"))
+        rows.groupBy("class")
         .agg(F.max((F.col("side") == 1).cast("int")).alias("in_train"), F.max((F.col("side") == 2).cast("int")).alias("in_held"), F.first("form").alias("form"))
         .withColumn("n", F.char_length("form"))
     )
@@ -136,10 +148,11 @@ def split_overlaps(
     rare = a.groupBy("gram", "level", "stretch").agg(F.count("*").alias("n_known"))
     held_rows = texts.filter("in_held = 1").select("class", "n", "form").mapInPandas(pieces, "class binary, n int, level int, width int, q int, n_pieces int, gram array<long>")
     b = held_rows.select("class", "n", "level", "width", "n_pieces", "q", F.posexplode("gram").alias("k", "gram")).withColumn("at", F.col("k") * F.col("q"))
-    b = b.withColumn("stretch", F.expr("at div width").cast("int")).join(rare, ["gram", "level", "stretch"], "left")
+    b = b.withColumn("stretch", F.expr("at div width").cast("int")).join(rare.hint("shuffle_hash"), ["gram", "level", "stretch"], "left")
     b = b.groupBy("class", "n", "n_pieces").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n_known", F.lit(0)).alias("n_known"), "at", "gram"))).alias("all"))
     chosen = F.array_sort(F.transform(F.slice("all", F.lit(1), F.col("n_pieces")), lambda x: F.struct(x["at"].alias("at"), x["gram"].alias("gram"))))
     b = b.select(F.col("class").alias("class_b"), F.col("n").alias("n_b"), F.posexplode(chosen).alias("i", "p")).select("class_b", "n_b", "i", "p.at", "p.gram")
+    # Sizes of tables cut by a checkpoint are estimates that a broadcast must not rest on: the joins name their kind.
     # Lengths of two levels may lie within the bound.
     level = lambda n: F.floor(F.log2(n) + 1e-12).cast("int")
     shortest = F.ceil((1 - max_edits) * F.col("n_b") - 1e-9)
@@ -152,7 +165,7 @@ def split_overlaps(
     low = F.greatest(-F.col("i"), gap - limit + F.col("i"))
     high = F.least(F.col("i"), gap + limit - F.col("i"))
     shared = (
-        a.join(b, ["gram", "level", "stretch"])
+        a.hint("merge").join(b, ["gram", "level", "stretch"])
         .filter((F.col("class_a") != F.col("class_b")) & (F.col("i") <= limit) & (F.abs(gap) <= limit))
         .filter((F.col("first") <= F.col("at") + high) & (F.col("last") >= F.col("at") + low) & (low <= high))
         .select("class_a", "class_b")
@@ -160,14 +173,15 @@ def split_overlaps(
     )
     coded = cut(texts.select("class", "n", "form").mapInPandas(bits, "class binary, n int, " + ", ".join(f"w{k} long" for k in range(WORDS))))
     side_of = lambda s: coded.select(*[F.col(c).alias(f"{c}_{s}") for c in coded.columns])
-    apart = sum((F.bit_count(F.col(f"w{k}_a").bitwiseXOR(F.col(f"w{k}_b"))) for k in range(WORDS)), F.lit(0))
-    near = shared.join(side_of("a"), "class_a").join(side_of("b"), "class_b").filter(apart + F.abs(gap) <= 2 * limit).select("class_a", "class_b")
-    limit = F.floor(max_edits * F.greatest(F.char_length("form_a"), F.char_length("form_b"))).cast("int")
+    apart = lambda words: sum((F.bit_count(F.col(f"w{k}_a").bitwiseXOR(F.col(f"w{k}_b"))) for k in words), F.lit(0))
+    within = (apart(range(LETTER_WORDS)) + F.abs(gap) <= 2 * limit) & (apart(range(LETTER_WORDS, WORDS)) <= 4 * limit)
+    near = shared.join(side_of("a").hint("merge"), "class_a").join(side_of("b").hint("merge"), "class_b").filter(within).select("class_a", "class_b", limit.alias("limit"))
     checked = (
-        near.join(texts.select(F.col("class").alias("class_a"), F.col("form").alias("form_a")), "class_a")
-        .join(texts.select(F.col("class").alias("class_b"), F.col("form").alias("form_b")), "class_b")
-        .withColumn("edits", F.levenshtein("form_a", "form_b"))
-        .filter(F.col("edits") <= limit)
+        near.join(texts.select(F.col("class").alias("class_a"), F.col("form").alias("form_a")).hint("merge"), "class_a")
+        .join(texts.select(F.col("class").alias("class_b"), F.col("form").alias("form_b")).hint("merge"), "class_b")
+        # Under a threshold only the band that can hold the distance is filled; -1 is beyond it.
+        .withColumn("edits", F.call_function("levenshtein", F.col("form_a"), F.col("form_b"), F.col("limit")))
+        .filter("edits >= 0")
         .select("class_a", "class_b", "edits")
     )
     same = texts.filter("in_train = 1 and in_held = 1").select(F.col("class").alias("class_a"), F.col("class").alias("class_b"), F.lit(0).alias("edits"))
