@@ -129,7 +129,7 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p9_report(spark: SparkSession, d: str) -> DataFrame:
-    """Number of leaking documents of every item."""
+    """Number of leaking documents of every item, and of them those that paraphrase it."""
     items = _t(spark, d, "benchmark")
     return leakage.leak_report(leakage.leaked_items(_t(spark, d, "documents"), items), items)
 

@@ -410,8 +410,55 @@ def test_leaks(spark):
     report = {r["item_id"]: r["n_documents"] for r in leakage.leak_report(hits, bench).collect()}
     assert report[0] == 2 and report[25] == 0
     assert leakage.leaked_items(data.limit(0), bench).count() == 0 and leakage.leaked_items(data, bench.limit(0)).count() == 0
-    with pytest.raises(ValueError):
-        leakage.leaked_items(data, bench, max_items=3)
+    blocks = leakage.leaked_items(data, bench, block_items=7)
+    assert {(r["doc_id"], r["item_id"]) for r in blocks.collect()} == want
+
+
+def test_paraphrases_are_found_and_other_orders_are_not(spark):
+    rng = random.Random(5)
+    vocabulary = ["".join(rng.choice("aeioubcdfghlmnprstvz") for _ in range(rng.randrange(3, 11))) for _ in range(900)]
+    text = lambda n: " ".join(vocabulary[min(899, int(rng.expovariate(1 / 180)))] for _ in range(n))
+    items = [(i, text(44)) for i in range(24)]
+    docs = []
+    for i, t in items[:12]:
+        words = t.split()
+        words[2::3] = [rng.choice(vocabulary) for _ in words[2::3]]  # one word in three
+        docs.append((i, f"{text(90)} {' '.join(words)} {text(90)}"))
+    for i, t in items[12:]:
+        parts = [t.split()[k : k + 4] for k in range(0, 44, 4)][:10]
+        swapped = [w for k in range(0, len(parts), 2) for p in parts[k : k + 2][::-1] for w in p]
+        docs.append((i, f"{text(90)} {' '.join(swapped)} {text(90)}"))
+    docs += [(100 + i, text(250)) for i in range(100)]
+    data = spark.createDataFrame(docs, "doc_id int, text string")
+    bench = spark.createDataFrame(items, "item_id int, text string")
+    hits = leakage.leaked_items(data, bench).collect()
+    assert all(r["doc_id"] == r["item_id"] for r in hits)
+    found = {r["doc_id"]: r["kind"] for r in hits}
+    assert sum(found.get(i) == "paraphrase" for i in range(12)) >= 7 and not set(found) & set(range(12, 24))
+
+
+def test_common_subsequences_against_brute_force():
+    def lcs(a, b):
+        row = [0] * (len(b) + 1)
+        for x in a:
+            last = 0
+            for j, y in enumerate(b):
+                last, row[j + 1] = row[j + 1], last + 1 if x == y else max(row[j + 1], row[j])
+        return row[-1]
+
+    rng = random.Random(3)
+    for _ in range(60):
+        a, b = [[rng.randrange(7) for _ in range(rng.randrange(1, 90))] for _ in range(2)]
+        assert leakage.common_words(leakage.word_masks(a), len(a), b) == lcs(a, b)
+        hits = [(i, j) for i, x in enumerate(b) for j, y in enumerate(a) if x == y]
+        at, place = np.array([h[0] for h in hits], dtype=int), np.array([h[1] for h in hits], dtype=int)
+        chain = leakage.longest_chain(at, place)
+        assert len(chain) == lcs(a, b) and (np.diff(at[chain]) > 0).all() and (np.diff(place[chain]) > 0).all()
+    text = np.array([rng.randrange(5000) for _ in range(240)], dtype=np.uint64)
+    swapped = np.concatenate([c for k in range(0, 240, 40) for c in (text[k + 20 : k + 40], text[k : k + 20])])
+    known = {g: i for i, g in enumerate(leakage.gram_hashes(text, 5).tolist())}
+    hits = [(i, known[g]) for i, g in enumerate(leakage.gram_hashes(swapped, 5).tolist()) if g in known]
+    assert leakage.chain_coverage(np.array([h[0] for h in hits]), np.array([h[1] for h in hits]), 5, 240) < 0.55
 
 
 # -- p10 --------------------------------------------------------------------
