@@ -490,5 +490,6 @@ def test_thai_clauses_follow_the_corpus(spark):
 
 def test_stack_automaton(spark):
     cases = {"a (b [c] d": "(", "a (b) “c": "“", "it’s ‘fine’": "", "「『x』": "「", "1) one (two)": "", ")(": "("}
-    rows = spark.createDataFrame([(k,) for k in cases], "t string").select("t", truncation.open_brackets(F.col("t")).alias("s")).collect()
+    cases |= {'a "b" c': "", 'a "b\nc.': '"', '(a "b" c': "(", "<div><p>a": "<div", "<div><p>a</div>": "", "<br>a<b>c</b><hr/>": "", "```\nx = (1)\n": "```", "```\nx\n```\n": "", 'a 5" pipe.': "", "the parents’": "", "(x\ny.": "("}
+    rows = spark.createDataFrame([(k,) for k in cases], "t string").select("t", truncation.open_structures(F.col("t")).alias("s")).collect()
     assert {r["t"]: r["s"] for r in rows} == cases
