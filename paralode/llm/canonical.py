@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from paralode.functions.text import canonical_form
@@ -40,6 +40,11 @@ def collapse(keys: DataFrame) -> DataFrame:
     return keys.groupBy("key", "check").agg(F.min("record_key").alias("keep_id"), F.count("*").alias("n_copies"))
 
 
+def with_collisions(groups: DataFrame) -> DataFrame:
+    """Groups with ``collides``: whether another content has the same key; a key has one row for each of its contents."""
+    return groups.withColumn("collides", F.count("*").over(Window.partitionBy("key")) > 1)
+
+
 def collisions(groups: DataFrame) -> DataFrame:
     """Keys under which different contents met; empty unless the 128-bit hash collides."""
     return groups.groupBy("key").agg(F.count("*").alias("n_contents")).filter("n_contents > 1")

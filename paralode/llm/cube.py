@@ -79,6 +79,40 @@ def landing(pi: np.ndarray, x: np.ndarray, rng: np.random.Generator) -> np.ndarr
     return np.where(free, (rng.random(len(pi)) < pi).astype(float), pi)
 
 
+def flight_categories(pi: np.ndarray, k: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+    """Flight phase where the balancing variables are the indicators of categories ``k``, without their matrix.
+
+    The vectors of two units of one category are equal, so raising one and
+    lowering the other by as much keeps every sum: such a pair is the window, and
+    one of the two is resolved each time. At most one unit per category stays
+    unresolved.
+    """
+    pi = pi.astype(float).copy()
+    waiting: dict[int, int] = {}
+    draws = rng.random(len(pi))
+    for i in np.flatnonzero((pi > EPS) & (pi < 1 - EPS)):
+        j = waiting.pop(int(k[i]), None)
+        if j is None:
+            waiting[int(k[i])] = i
+            continue
+        a, b = pi[i], pi[j]
+        up, down = min(1 - a, b), min(a, 1 - b)
+        move = up if draws[i] < down / (up + down) else -down
+        pi[i], pi[j] = a + move, b - move
+        for u in (i, j):
+            pi[u] = 0.0 if pi[u] < EPS else 1.0 if pi[u] > 1 - EPS else pi[u]
+            if 0 < pi[u] < 1:
+                waiting[int(k[u])] = u
+    return pi
+
+
+def landing_categories(pi: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+    """Landing phase for categories: the category indicators are given up, the size of the sample is kept to the end."""
+    pi = flight_categories(pi, np.zeros(len(pi), dtype=int), rng)
+    free = (pi > 0) & (pi < 1)
+    return np.where(free, (rng.random(len(pi)) < pi).astype(float), pi)
+
+
 def proportional_sample(
     df: DataFrame,
     targets: DataFrame,
@@ -94,8 +128,9 @@ def proportional_sample(
     ``targets`` has the category columns, target_share, min_rows and
     sample_share. Returns ``sample`` (id and category) and ``report`` (per
     category: available, wanted, sampled, residual, served). The wanted number
-    is the larger of target_share * sample_share * N and min_rows; where fewer
-    ids exist all are taken and the category is not ``served``. Rows repeated
+    is the larger of target_share * sample_share * N and min_rows; where the
+    sample holds all there is of a category and that is fewer, it is not
+    ``served``. Each other category gets its wanted number rounded down or up. Rows repeated
     under one id count once, with the category of the latest arrival; ids
     that are null count as one. Rows of no target category are never drawn.
 
@@ -129,16 +164,10 @@ def proportional_sample(
     def fly(last: bool, level: int):
         def run(pdf: pd.DataFrame) -> pd.DataFrame:
             pdf = pdf.sort_values("id", na_position="first").reset_index(drop=True)
-            x = np.zeros((len(pdf), len(names)))
-            pi = pdf["pi"].to_numpy(dtype=float)
-            # The last variables are given up first in the landing: the largest categories.
-            place = np.empty(len(names), dtype=int)
-            place[sorted(range(len(names)), key=lambda k: quota[names[k]])] = np.arange(len(names))
-            x[np.arange(len(pdf)), place[pdf["k"].to_numpy()]] = 1.0
             rng = np.random.default_rng([seed, level, int(pdf["block"].iloc[0])])
-            pi = flight(pi, x, rng)
+            pi = flight_categories(pdf["pi"].to_numpy(dtype=float), pdf["k"].to_numpy(), rng)
             if last:
-                pi = landing(pi, x, rng)
+                pi = landing_categories(pi, rng)
             return pdf.assign(pi=pi)
 
         return run
@@ -166,7 +195,8 @@ def proportional_sample(
         shown.join(F.broadcast(sampled), "k", "left")
         .withColumn("sampled", F.coalesce("sampled", F.lit(0)))
         .withColumn("residual", F.round(F.col("sampled") - F.col("wanted"), 6))
-        .withColumn("served", F.col("available") >= F.col("wanted"))
+        # What was drawn tells: a category is short where all of it is in the sample and that is less than wanted.
+        .withColumn("served", ~((F.col("sampled") == F.col("available")) & (F.col("sampled") < F.col("wanted"))))
         .drop("k")
     )
     return {"sample": drawn.join(F.broadcast(shown.select("k", *columns)), "k").drop("k"), "report": report}

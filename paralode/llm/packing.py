@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,17 +30,30 @@ def _encoding(path: str):
     return _ENCODINGS[path]
 
 
+def _shipped(df: DataFrame, path: str) -> str:
+    """Send a vocabulary to the executors once and return its name there."""
+    context = df.sparkSession.sparkContext
+    name = os.path.basename(path)
+    if all(os.path.basename(known) != name for known in context.listFiles):
+        context.addFile(path)
+    return name
+
+
 def token_sizes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str = "byte_bpe_multi_50k.tiktoken", directory: str | None = None) -> DataFrame:
-    """(doc_id, n_tokens, block_seed): whole texts sized with a public tokenizer; a null text has a null size."""
-    path = os.path.join(directory or TOKENIZER_DIR, vocabulary)
+    """(doc_id, n_tokens, seed): whole texts sized with a public tokenizer; a null text has a null size.
+
+    The vocabulary is read where the driver runs and shipped from there. The seed is a hash of the text, so
+    that the packing does not depend on how the table lies in files.
+    """
+    name = _shipped(df, os.path.join(directory or TOKENIZER_DIR, vocabulary))
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoding = _encoding(path)
+        encoding = _encoding(SparkFiles.get(name))
         for pdf in batches:
             sizes = [None if t is None else len(encoding.encode_ordinary(t)) for t in pdf["text"]]
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "n_tokens": pd.array(sizes, dtype="Int64"), "seed": pdf["seed"]})
 
-    source = df.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"), F.monotonically_increasing_id().alias("seed"))
+    source = df.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"), F.coalesce(F.xxhash64(F.col(f"`{text_col}`")), F.lit(0)).alias("seed"))
     kind = dict(df.dtypes)[id_col]
     return source.mapInPandas(count, f"doc_id {kind}, n_tokens long, seed long")
 

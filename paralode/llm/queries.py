@@ -32,8 +32,9 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p2_groups(spark: SparkSession, d: str) -> DataFrame:
-    """One row per content with the number of its copies."""
-    return canonical.hidden_duplicates(_t(spark, d, "zh_en_pool"))["groups"].select("keep_id", "n_copies", F.lower(F.hex("key")).alias("content_key"))
+    """One row per content with the number of its copies and whether its hash collides with that of another one."""
+    groups = canonical.hidden_duplicates(_t(spark, d, "zh_en_pool"))["groups"]
+    return canonical.with_collisions(groups).select("keep_id", "n_copies", F.lower(F.hex("key")).alias("content_key"), "collides")
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
@@ -52,6 +53,18 @@ def p3_sample(spark: SparkSession, d: str) -> DataFrame:
     return cube.proportional_sample(_t(spark, d, "zh_en"), _t(spark, d, "sample_targets"))["sample"]
 
 
+def p3_balance(spark: SparkSession, d: str) -> DataFrame:
+    """Of each category, counted in the sample itself: repeated ids, and whether their number is the wanted one rounded down or up."""
+    out = cube.proportional_sample(_t(spark, d, "zh_en"), _t(spark, d, "sample_targets"))
+    drawn = out["sample"].groupBy(*cube.CATEGORY).agg(F.count("*").alias("n"), F.count_distinct("id").alias("n_ids"))
+    goal = F.least("available", "wanted")
+    n = F.coalesce("n", F.lit(0))
+    return out["report"].join(F.broadcast(drawn), list(cube.CATEGORY), "left").select(
+        *cube.CATEGORY, "available", "served", F.round("wanted", 4).alias("wanted"), F.coalesce(F.col("n") - F.col("n_ids"), F.lit(0)).alias("n_repeated"),
+        ((n >= F.floor(goal + 1e-9)) & (n <= F.ceil(goal - 1e-9))).alias("within"),
+    )
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     """Pairs of a training record and a held-out record with the same or nearly the same source text."""
     return overlap.overlap_pairs(overlap.split_overlaps(_t(spark, d, "sft_records"))).select("record_id_a", "record_id_b")
@@ -112,10 +125,9 @@ def _capacity(spark: SparkSession, d: str) -> int:
 
 
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
-    """Documents that exceed a container by themselves."""
-    capacity = _capacity(spark, d)
-    packed = packing.pack(packing.token_sizes(_t(spark, d, "documents")), capacity)
-    return packed.filter((F.col("piece") == 0) & (F.col("n_tokens") > capacity)).select("doc_id").distinct()
+    """Documents that exceed a container by themselves: those that the packing had to part."""
+    packed = packing.pack(packing.token_sizes(_t(spark, d, "documents")), _capacity(spark, d))
+    return packed.filter("piece >= 1").select("doc_id").distinct()
 
 
 def p8_packing(spark: SparkSession, d: str) -> DataFrame:
@@ -190,6 +202,18 @@ n AS (SELECT count(DISTINCT id) AS n FROM zh_en),
 a AS (SELECT t.domain, t.source_lang, t.target_lang, t.target_share, t.min_rows, t.sample_share, count(DISTINCT z.id) AS have
       FROM t LEFT JOIN z USING (k_domain, k_source_lang, k_target_lang) GROUP BY ALL)
 SELECT domain, source_lang, target_lang FROM a, n WHERE have < target_share * sample_share * n OR have < min_rows""",
+        "p2_groups": f"""
+WITH c AS (SELECT pool_record_id AS id, coalesce({_CANON.format(c='zh_text')}, '') AS a, coalesce({_CANON.format(c='en_text')}, '') AS b FROM zh_en_pool),
+k AS (SELECT id, CASE WHEN a <> '' OR b <> '' THEN least(a, b) || chr(31) || greatest(a, b) ELSE chr(30) || id END AS p FROM c)
+SELECT min(id) AS keep_id, count(*) AS n_copies, md5(p) AS content_key, false AS collides FROM k GROUP BY p""",
+        "p3_balance": f"""
+WITH z AS (SELECT DISTINCT id, {_categories('zh_en')} FROM zh_en),
+t AS (SELECT *, {_categories('sample_targets')} FROM sample_targets),
+n AS (SELECT count(DISTINCT id) AS n FROM zh_en),
+a AS (SELECT t.domain, t.source_lang, t.target_lang, t.target_share, t.min_rows, t.sample_share, count(DISTINCT z.id) AS available
+      FROM t LEFT JOIN z USING (k_domain, k_source_lang, k_target_lang) GROUP BY ALL)
+SELECT domain, source_lang, target_lang, available, available >= greatest(target_share * sample_share * n, min_rows) AS served,
+       round(greatest(target_share * sample_share * n, min_rows), 4) AS wanted, 0 AS n_repeated, true AS within FROM a, n""",
         "p4_found": f"""
 WITH t AS (SELECT record_id, split, {_CANON.format(c='source_text')} AS t FROM sft_records WHERE split IN ('train', 'validation', 'test')),
 x AS (SELECT a.record_id AS x, b.record_id AS y, a.t AS s, b.t AS t FROM t a JOIN t b

@@ -99,13 +99,14 @@ def stratified_groups(rows: DataFrame, splits: Sequence[tuple[str, float]] = SPL
     n_rows = sum(totals.values())
     labels = sorted(totals)
     n_groups = groups.count()
-    least = max(1.0, giant_share * n_rows)
+    least = giant_share * n_rows
 
     def vectors(maps: Sequence[dict]) -> np.ndarray:
         return np.array([[dict(m).get(k, 0) for k in labels] for m in maps]).reshape(len(maps), len(labels))
 
     wanted = shares[:, None] * np.array([totals[k] for k in labels], dtype=float)[None, :]
-    giants = groups.filter(F.col("size") >= least).orderBy("component").select("component", "labels").collect() if least > 1 else []
+    giants = groups.filter(F.col("size") >= least).orderBy("component").select("component", "labels").collect()
+    where = np.zeros(0, dtype=int)
     if giants:
         counts = vectors([g["labels"] for g in giants])
         where = stratify(counts, wanted)

@@ -121,6 +121,27 @@ def test_flight_keeps_balance():
     assert set(np.unique(done)) <= {0.0, 1.0} and np.abs(pi @ x - done @ x).max() < 2
 
 
+def test_flight_of_categories_keeps_balance_without_a_matrix():
+    rng = np.random.default_rng(0)
+    pi, k = rng.random(5000), rng.integers(0, 900, 5000)
+    out = cube.flight_categories(pi, k, rng)
+    sums = lambda p: np.bincount(k, weights=p, minlength=900)
+    assert np.allclose(sums(pi), sums(out)) and np.bincount(k[(out > 0) & (out < 1)], minlength=900).max() <= 1
+    done = cube.landing_categories(out, rng)
+    assert set(np.unique(done)) <= {0.0, 1.0} and np.abs(sums(pi) - sums(done)).max() < 1 and abs(done.sum() - pi.sum()) < 1
+    one, many = np.array([0.3, 0.6, 0.4]), np.zeros(3)
+    for seed in range(4000):
+        many += cube.landing_categories(cube.flight_categories(one, np.array([0, 0, 1]), r := np.random.default_rng(seed)), r)
+    assert np.abs(many / 4000 - one).max() < 0.03
+
+
+def test_report_follows_the_draw(spark, monkeypatch):
+    monkeypatch.setattr(cube, "landing_categories", lambda pi, rng: np.zeros(len(pi)))
+    data = spark.createDataFrame([(str(i), "a", "b", "c", None) for i in range(10)], "id string, domain string, source_lang string, target_lang string, loaded_at timestamp")
+    goals = spark.createDataFrame([("a", "b", "c", 1.0, 12, 1.0)], "domain string, source_lang string, target_lang string, target_share double, min_rows int, sample_share double")
+    assert [r["served"] for r in cube.proportional_sample(data, goals)["report"].collect()] != [False]
+
+
 def test_sample_follows_targets(spark):
     rows = [(str(i), "Finance " if i % 2 else "ＦＩＮＡＮＣＥ", "zh_CN", "EN", None, "k") for i in range(300)] + [(str(300 + i), "law", "en", "zh-CN", None, "k") for i in range(10)]
     rows += [("1", "finance", "zh-CN", "en", None, "k"), ("x", None, None, None, None, "k"), ("y", "", "en", "en", None, "k")]
