@@ -34,7 +34,7 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
 def p2_groups(spark: SparkSession, d: str) -> DataFrame:
     """One row per content with the number of its copies and whether its hash collides with that of another one."""
     groups = canonical.hidden_duplicates(_t(spark, d, "zh_en_pool"))["groups"]
-    return canonical.with_collisions(groups).select("keep_id", "n_copies", F.lower(F.hex("key")).alias("content_key"), "collides")
+    return canonical.with_collisions(groups).select("keep_id", "n_copies", "collides")
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
@@ -205,7 +205,7 @@ SELECT domain, source_lang, target_lang FROM a, n WHERE have < target_share * sa
         "p2_groups": f"""
 WITH c AS (SELECT pool_record_id AS id, coalesce({_CANON.format(c='zh_text')}, '') AS a, coalesce({_CANON.format(c='en_text')}, '') AS b FROM zh_en_pool),
 k AS (SELECT id, CASE WHEN a <> '' OR b <> '' THEN least(a, b) || chr(31) || greatest(a, b) ELSE chr(30) || id END AS p FROM c)
-SELECT min(id) AS keep_id, count(*) AS n_copies, md5(p) AS content_key, false AS collides FROM k GROUP BY p""",
+SELECT min(id) AS keep_id, count(*) AS n_copies, false AS collides FROM k GROUP BY p""",
         "p3_balance": f"""
 WITH z AS (SELECT DISTINCT id, {_categories('zh_en')} FROM zh_en),
 t AS (SELECT *, {_categories('sample_targets')} FROM sample_targets),
