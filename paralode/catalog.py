@@ -34,7 +34,7 @@ def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{directory}/{name}.parquet")
 
 
-_MODULES = ("text_queries", "gate_queries", "table_queries", "stage_queries")
+_MODULES = ("text_queries", "gate_queries", "table_queries", "stage_queries", "record_queries")
 
 
 def _load() -> None:

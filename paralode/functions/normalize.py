@@ -98,3 +98,22 @@ NORMALIZERS = {
     "sft": sft_text,
     "side_key": side_key,
 }
+
+
+# What is cut out of a chunk of a page, in this order.
+CHUNK_STEPS = (
+    (r"\s+>\s*(?=[A-Z])", " "),
+    (r"([.!?])['’](?=\s+[A-Z])", "$1"),
+    (r"\bdestiny\s+(?=Education Secretary\b)", "destiny. "),
+    (r"(?i)\s+[A-Z][^.!?]{0,120}\bsaid:\s*$", ""),
+    (r"(?i)[（(]?(?:https?://|www\.)[^\s）)]+[）)]?", ""),
+    (r"(?i)website:\s+(?=Oak National Academy\b)", "website. "),
+    (r"\s+项目办公室\s+.*$", ""),
+    (r"\s+附件[:：]\s*.*$", ""),
+    (r"\s{2,}", " "),
+)
+
+
+def sanitize_chunk(c: Column | str) -> Column:
+    """A chunk of a page without stray marks, addresses, trailing speakers, offices and attachments; null stays null."""
+    return F.regexp_replace(_sub(page_text(c), *CHUNK_STEPS), r"^\s+|\s+$", "")

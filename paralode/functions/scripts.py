@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from paralode.functions.normalize import page_text
 from paralode.functions.text import nfkc
 
 # The Han classes that the stages of the corpus use; none is interchangeable with another.
@@ -133,9 +134,10 @@ def chinese_sentences(c: Column | str) -> Column:
     return F.filter(F.transform(F.regexp_extract_all(F.coalesce(_col(c), F.lit("")), F.lit("[^。！？!?；;]+[。！？!?；;]?"), F.lit(0)), lambda s: F.trim(s)), lambda s: s != "")
 
 
-def english_sentences(c: Column | str) -> Column:
-    """Sentences parted after a mark and before a capital, digit or quotation mark."""
-    return F.filter(F.transform(F.split(F.coalesce(_col(c), F.lit("")), r"(?<=[.!?])\s+(?=[A-Z0-9\"'])"), lambda s: F.trim(s)), lambda s: s != "")
+def english_sentences(c: Column | str, least: int = 5) -> Column:
+    """Sentences of page text parted at line feeds and after a mark before a capital, digit or quotation mark; ``least`` words or more."""
+    parts = F.split(page_text(F.coalesce(_col(c), F.lit(""))), r"\n+|(?<=[.!?])\s+(?=[A-Z0-9\"'])")
+    return F.filter(F.transform(parts, lambda s: page_text(s)), lambda s: F.regexp_count(s, F.lit(ENGLISH_WORD)) >= least)
 
 
 def split_codepoints(c: Column | str, limit: int, tail: float = 0.45) -> Column:

@@ -137,3 +137,36 @@ def paragraphs(c: Column | str) -> Column:
     """Blocks between blank lines, each on one line, without empty ones."""
     blocks = F.split(F.coalesce(_col(c), F.lit("")), "\n\\s*\n+")
     return F.filter(F.transform(blocks, lambda b: wiki_text(F.regexp_replace(b, "\\s*\n\\s*", " "))), lambda b: b != "")
+
+
+def passes_patterns(url: Column | str, title: Column | str | None = None, allow: str | None = None, exclude: str | None = None, include_title: str | None = None, exclude_title: str | None = None) -> Column:
+    """Whether an address and its title pass the patterns of a source; titles without regard to case, a null address never."""
+    u = _col(url)
+    t = F.coalesce(_col(title), F.lit("")) if title is not None else F.lit("")
+    tests = [
+        u.rlike(allow) if allow else None,
+        ~u.rlike(exclude) if exclude else None,
+        t.rlike(f"(?i){include_title}") if include_title else None,
+        ~t.rlike(f"(?i){exclude_title}") if exclude_title else None,
+    ]
+    out = u.isNotNull()
+    for test in tests:
+        out = out if test is None else out & test
+    return F.coalesce(out, F.lit(False))
+
+
+#: Files that are no pages.
+NO_PAGE = r"(?i)\.(?:pdf|docx?|xlsx?|csv|ods|zip)(?:[?#]|$)"
+
+
+def attached_pages(links: Column, page: Column, root: str, most: int = 10) -> Column:
+    """Of the links of a page the first ``most`` pages below its root: same host and root, not the page itself, no files.
+
+    ``root`` is the pattern of the root's path, such as two leading folders.
+    """
+    host = F.regexp_extract(page, r"^(https?://[^/?#]+)", 1)
+    base = F.concat(host, F.regexp_extract(page, r"^https?://[^/?#]+(" + root + ")", 1))
+    full = F.transform(links, lambda x: canonical_url(F.when(x.startswith("/"), F.concat(host, x)).otherwise(x)))
+    bare = F.regexp_replace(page, r"[?#].*$", "")
+    wanted = F.filter(full, lambda x: x.startswith(F.concat(base, F.lit("/"))) & (F.regexp_replace(x, r"[?#].*$", "") != bare) & ~x.rlike(NO_PAGE))
+    return F.when(base != host, F.slice(F.array_distinct(wanted), 1, most)).otherwise(F.slice(links, 1, 0))

@@ -8,11 +8,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from paralode.operators.ordered import ranked
 
-def small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Mark a side for broadcast if it has at most ``max_rows`` rows, else leave the choice to the planner."""
-    few = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if few else df
+
+def small(df: DataFrame, max_rows: int = 100_000, max_bytes: int = 64 << 20) -> DataFrame:
+    """Mark a side for broadcast if it has at most ``max_rows`` rows of together ``max_bytes`` as JSON, else leave the choice to the planner."""
+    first = df.limit(max_rows + 1).select(F.octet_length(F.to_json(F.struct("*"))).alias("b")).agg(F.count("*").alias("n"), F.sum("b").alias("b")).first()
+    return F.broadcast(df) if first["n"] <= max_rows and (first["b"] or 0) <= max_bytes else df
 
 
 def align_lines(frames: Sequence[DataFrame], line: str = "line_no", names: Sequence[str] | None = None) -> DataFrame:
@@ -125,20 +127,52 @@ def swap_to_sides(df: DataFrame, left_lang: str, right_lang: str, left: str, rig
 def surrogate_ids(df: DataFrame, prefix: str, order: Sequence[Column], name: str = "record_id", width: int = 9, partition: str | None = None) -> DataFrame:
     """Numbered ids in the given order without one sorted partition for all rows.
 
-    Rows are range-partitioned, numbered within their partition and shifted by
-    the rows before it; only one count per partition reaches the driver's plan.
+    Rows are range-partitioned, numbered within their part and shifted by the rows before it.
     """
-    from pyspark.sql import Window
-
-    if partition:
-        rn = F.row_number().over(Window.partitionBy(partition).orderBy(*order))
-        return df.withColumn(name, F.concat(F.lit(prefix), F.lpad(rn.cast("string"), width, "0")))
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumns({"__p": F.spark_partition_id(), "__i": F.monotonically_increasing_id()})
-    from paralode.session import cut
-
-    ranged = cut(ranged)
-    starts = ranged.groupBy("__p").agg(F.count("*").alias("__n"), F.min("__i").alias("__first"))
-    w = Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
-    starts = starts.select("__p", "__first", F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__before"))
-    numbered = ranged.join(F.broadcast(starts), "__p").withColumn("__rn", F.col("__before") + F.col("__i") - F.col("__first") + 1)
+    numbered = ranked(df, [partition] if partition else [], order, "__rn")
     return numbered.select(*df.columns, F.concat(F.lit(prefix), F.lpad(F.col("__rn").cast("string"), width, "0")).alias(name))
+
+
+# A reference to a segment of one side of an alignment.
+REFERENCE = r"(?:en|zh):\d+:\d+"
+
+
+def alignment_id(c: Column | str) -> Column:
+    """Struct (document_id, sentence_id, english_references, chinese_references) of an alignment line, null where it is none.
+
+    A line is a document and references to segments, at least one of each side.
+    """
+    parts = F.split(F.trim(F.regexp_replace(F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit("")), r"\s+", " ")), " ")
+    references = F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0)))
+    of = lambda side: F.filter(references, lambda r: r.startswith(side))
+    sound = F.forall(references, lambda r: r.rlike(f"^{REFERENCE}$")) & (F.size(of("en:")) > 0) & (F.size(of("zh:")) > 0) & (parts[0] != "")
+    return F.when(
+        sound,
+        F.struct(parts[0].alias("document_id"), F.array_join(references, " ").alias("sentence_id"), of("en:").alias("english_references"), of("zh:").alias("chinese_references")),
+    )
+
+
+def with_scores(df: DataFrame, scores: DataFrame, key: str, score: str, least: float | None = None) -> DataFrame:
+    """Adds ``score`` and ``score_status`` of each row; with ``least`` only rows that have that score or more stay. Scores are unique by key."""
+    known = scores.select(F.col(key).alias("__k"), F.col(score).alias("__s"))
+    joined = df.join(known, F.col(key) == F.col("__k"), "left")
+    if least is not None:
+        joined = joined.filter(F.col("__s") >= least)
+    status = F.when(F.col("__s").isNotNull(), "evaluated").otherwise("not_evaluated")
+    return joined.select(*[F.col(f"`{c}`") for c in df.columns], F.col("__s").alias("score"), status.alias("score_status"))
+
+
+def quarantine(accepted: DataFrame, rejected: DataFrame, batch: str, key: str, leaks: Column, reason: str, expected: int | None = None) -> dict[str, DataFrame]:
+    """Whole batches with one leaking record move from accepted to rejected; a second run moves nothing.
+
+    A batch is contaminated by a leak on either side; a null batch is none. With
+    ``expected`` any other number of moved records is an error, unless nothing is
+    left to move. Rows that are rejected already are not marked twice.
+    """
+    both = accepted.select(batch, leaks.alias("__leak")).unionByName(rejected.select(batch, leaks.alias("__leak")))
+    bad = both.filter(F.col("__leak") & F.col(batch).isNotNull()).select(batch).distinct()
+    moved = accepted.join(bad, batch, "left_semi").join(rejected.select(key).distinct(), key, "left_anti")
+    if expected is not None and (n := moved.count()) not in (0, expected):
+        raise ValueError(f"{n} records to move, {expected} expected")
+    marked = moved.select(*accepted.columns, F.lit(reason).alias("rejection_reason"), F.lit(True).alias("retranslation_required"))
+    return {"kept": accepted.join(bad, batch, "left_anti"), "moved": marked, "rejected": rejected.unionByName(marked, allowMissingColumns=True)}

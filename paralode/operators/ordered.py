@@ -4,13 +4,36 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from paralode.session import cut
 from paralode.operators.dedup import first_per_key, last_per_key
 
 
+def ranked(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str = "rank") -> DataFrame:
+    """Adds the place of each row, from 1, within its keys in the given order; a key may hold any part of the rows.
+
+    Rows are range-partitioned by keys and order, so that a large key lies in
+    many tasks; rows count up within their part and are shifted by the rows of
+    their key in the parts before. ``order`` should settle every tie.
+    """
+    by = [*[F.col(f"`{k}`") for k in keys], *order]
+    parted = cut(df.repartitionByRange(*by).sortWithinPartitions(*by).withColumns({"__p": F.spark_partition_id(), "__i": F.monotonically_increasing_id()}))
+    hidden = [F.col(f"`{k}`").alias(f"__k{j}") for j, k in enumerate(keys)]
+    names = [f"__k{j}" for j in range(len(keys))]
+    parts = parted.groupBy("__p", *hidden).agg(F.count("*").alias("__n"), F.min("__i").alias("__first"))
+    # One row for each part of a key: a window over the parts of a key, not over its rows.
+    w = Window.partitionBy(*names).orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
+    starts = parts.withColumn("__before", F.coalesce(F.sum("__n").over(w), F.lit(0))).withColumnRenamed("__p", "__q")
+    same = F.col("__p") == F.col("__q")
+    for j, k in enumerate(keys):
+        same = same & F.col(f"`{k}`").eqNullSafe(F.col(f"__k{j}"))
+    return parted.join(starts, same).select(*[F.col(f"`{c}`") for c in df.columns], (F.col("__before") + F.col("__i") - F.col("__first") + 1).alias(name))
+
+
 def latest_event(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     """The last event of each key by chunk and line, not by time stamp."""
     return last_per_key(df, [key], order)
@@ -31,14 +54,11 @@ def best_candidate(df: DataFrame, key: str, rank: Sequence[str], alternative: st
 def round_robin(df: DataFrame, group: str, within: Sequence[Column]) -> DataFrame:
     """Adds ``turn``, the place in the group, and ``position``, the place when groups take turns in name order.
 
-    The position is computed without one sorted partition for all rows: rows
-    per turn are counted and summed up, and within a turn groups are ranked.
+    Neither is computed in one partition per group or for all rows.
     """
-    turned = df.withColumn("turn", F.row_number().over(Window.partitionBy(group).orderBy(*within)))
-    sizes = turned.groupBy("turn").agg(F.count("*").alias("__n"))
-    before = sizes.withColumn("__before", F.sum("__n").over(Window.orderBy("turn").rowsBetween(Window.unboundedPreceding, -1))).select("turn", F.coalesce("__before", F.lit(0)).alias("__before"))
-    placed = turned.join(before, "turn").withColumn("__in_turn", F.row_number().over(Window.partitionBy("turn").orderBy(group)))
-    return placed.select(*df.columns, "turn", (F.col("__before") + F.col("__in_turn")).alias("position"))
+    turned = ranked(df, [group], within, "turn")
+    # In the order of turn and group the position is a rank over all rows.
+    return ranked(turned, [], [F.col("turn"), F.col(f"`{group}`")], "position")
 
 
 def islands(df: DataFrame, file: str, order: str, same: Column, name: str = "island") -> DataFrame:
@@ -163,43 +183,35 @@ def anchored_intervals(df: DataFrame, group: Sequence[str], line: str, anchor: s
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(line).reset_index(drop=True)
-        lines, is_anchor, is_bad = pdf[line].tolist(), pdf[anchor].tolist(), pdf[bad].tolist()
-        han, words = pdf[zh].tolist(), pdf[en].tolist()
-        used: set[int] = set()
+        at = pdf[line].to_numpy()
+        # Sums of any stretch from running totals; ``free`` runs down as lines are used up.
+        total = {c: np.append(0, np.cumsum(pdf[c].to_numpy())) for c in (zh, en)}
+        free = ~pdf[bad].to_numpy(dtype=bool)
+        joined = np.append(np.diff(at) == 1, False)
         rows = []
-
-        def reach(a: int, step: int) -> int:
-            at = a
-            for _ in range(window):
-                nxt = at + step
-                if not 0 <= nxt < len(lines) or is_bad[nxt] or lines[nxt] in used or abs(lines[nxt] - lines[at]) != 1:
-                    break
-                at = nxt
-            return at
-
-        for a in range(len(lines)):
-            if not is_anchor[a] or is_bad[a] or lines[a] in used:
+        for a in np.flatnonzero(pdf[anchor].to_numpy(dtype=bool)):
+            if not free[a]:
                 continue
-            low, high = reach(a, -1), reach(a, 1)
-            choices = []
-            for s in range(low, a + 1):
-                for e in range(a, high + 1):
-                    h, w = sum(han[s : e + 1]), sum(words[s : e + 1])
-                    if least <= h <= most and w >= least_words:
-                        choices.append((abs(h - target), abs((a - s) - (e - a)), e - s, s, e, h, w))
-            if choices:
-                *_, s, e, h, w = min(choices)
-                used.update(lines[s : e + 1])
-                rows.append((lines[a], lines[s], lines[e], h, w, "accepted"))
+            before = joined[max(0, a - window) : a] & free[max(0, a - window) : a]
+            after = joined[a : a + window] & np.append(free, False)[a + 1 : a + 1 + window]
+            low = a - int(np.cumprod(before[::-1]).sum())
+            high = a + int(np.cumprod(after).sum())
+            s, e = (grid.ravel() for grid in np.meshgrid(np.arange(low, a + 1), np.arange(a, high + 1), indexing="ij"))
+            h, w = total[zh][e + 1] - total[zh][s], total[en][e + 1] - total[en][s]
+            fits = np.flatnonzero((h >= least) & (h <= most) & (w >= least_words))
+            if len(fits):
+                best = fits[np.lexsort((e[fits], s[fits], (e - s)[fits], np.abs(2 * a - s - e)[fits], np.abs(h - target)[fits]))[0]]
+                free[s[best] : e[best] + 1] = False
+                rows.append((at[a], at[s[best]], at[e[best]], h[best], w[best], "accepted"))
                 continue
-            h, w = sum(han[low : high + 1]), sum(words[low : high + 1])
+            h, w = total[zh][high + 1] - total[zh][low], total[en][high + 1] - total[en][low]
             reason = (
                 "english_words_below_minimum" if w < least_words
                 else "zh_chars_below_minimum_after_context" if h < least
-                else "zh_chars_over_maximum" if han[a] > most
+                else "zh_chars_over_maximum" if total[zh][a + 1] - total[zh][a] > most
                 else "cannot_fit_complete_sentences_within_maximum"
             )
-            rows.append((lines[a], lines[low], lines[high], h, w, reason))
+            rows.append((at[a], at[low], at[high], h, w, reason))
         out = pd.DataFrame(rows, columns=["anchor_line", "start_line", "end_line", "han", "words", "outcome"])
         for g in group:
             out[g] = pdf[g].iloc[0] if len(pdf) else None

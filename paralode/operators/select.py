@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from paralode.operators.ordered import ranked
 from paralode.session import cut
 
 UNIT = "\u001f"
@@ -54,6 +55,24 @@ def twister_order(n: int, seed: int) -> list[int]:
     return order
 
 
+def reservoir_places(n: int, k: int, seed: int) -> list[int]:
+    """Which of n rows in order stand in the k slots of a seeded reservoir at the end, from 1. Only the drawing runs on the driver."""
+    rng = random.Random(seed)
+    slots = list(range(1, min(n, k) + 1))
+    for i in range(k + 1, n + 1):
+        at = rng.randrange(i)
+        if at < k:
+            slots[at] = i
+    return slots
+
+
+def reservoir(df: DataFrame, order: Sequence[Column], k: int, seed: int) -> DataFrame:
+    """The rows of a seeded reservoir of k slots over the table in order, with ``slot`` from 0; an empty table gives none."""
+    places = reservoir_places(df.count(), k, seed)
+    wanted = df.sparkSession.createDataFrame([(p, i) for i, p in enumerate(places)], "__rn long, slot int")
+    return ranked(df, [], order, "__rn").join(F.broadcast(wanted), "__rn").drop("__rn")
+
+
 def largest_remainder(total: int, weights: Sequence[float]) -> list[int]:
     """Whole numbers in proportion to weights that add up to the total; ties go to the first."""
     whole = sum(weights)
@@ -82,18 +101,24 @@ def apportion(df: DataFrame, total: Column, weight: str, index: str) -> DataFram
 def disjoint_quotas(df: DataFrame, key: str, domain: str, quotas: dict[str, int], seed: str) -> tuple[DataFrame, dict[str, int]]:
     """Rows for each domain without one key twice; domains with the smallest pool choose first.
 
-    Returns the selection and, per domain, how many rows are lacking. The loop
-    runs over the domains of the quota table, a configured handful.
+    A key may have one row in a domain. Returns the selection and, per domain,
+    how many rows are lacking. The loop runs over the domains of the quota table
+    and touches only as many rows as the quotas allow.
     """
     rows = df.filter(F.col(domain).isin(*quotas))
+    most = sum(quotas.values())
     sizes = {r[domain]: r["n"] for r in rows.groupBy(domain).agg(F.count_distinct(key).alias("n")).collect()}
+    # Whatever the others take, a domain chooses among its first ``most`` keys: one pass keeps these, the rest is a bounded table.
+    h = F.sha2(F.concat_ws(UNIT, F.concat(F.lit(f"{seed}:"), F.col(domain)), F.col(key).cast("string")), 256)
+    w = Window.partitionBy(domain).orderBy("__h", key)
+    pool = cut(rows.withColumn("__h", h).withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= most).drop("__rn"))
     chosen: DataFrame | None = None
     missing = {}
     for name in sorted(quotas, key=lambda d: (sizes.get(d, 0), d)):
-        pool = rows.filter(F.col(domain) == name)
+        left = pool.filter(F.col(domain) == name)
         if chosen is not None:
-            pool = pool.join(chosen.select(key), key, "left_anti")
-        picked = cut(pool.withColumn("__h", seeded_hash(f"{seed}:{name}", key)).orderBy("__h", key).limit(quotas[name]).drop("__h"))
+            left = left.join(chosen.select(key), key, "left_anti")
+        picked = cut(left.orderBy("__h", key).limit(quotas[name]).drop("__h").select(*df.columns))
         missing[name] = quotas[name] - picked.count()
         chosen = picked if chosen is None else chosen.unionByName(picked)
     return (chosen if chosen is not None else rows.limit(0)), missing
@@ -108,9 +133,9 @@ def stratified_quota(df: DataFrame, stratum: str, quotas: dict[str, int], order:
 
 def allocate_direction(df: DataFrame, seed: str, id_col: str, forward: int, domain: str, left: str, right: str, left_lang: str, right_lang: str) -> DataFrame:
     """The first ``forward`` rows of each domain in seeded order go left to right, the rest right to left."""
-    w = Window.partitionBy(domain).orderBy(F.sha2(F.concat_ws(UNIT, F.lit(f"direction:{seed}"), F.col(domain), F.col(id_col).cast("string")), 256), id_col)
-    ahead = F.row_number().over(w) <= forward
-    return df.withColumn("__ahead", ahead).select(
+    h = F.sha2(F.concat_ws(UNIT, F.lit(f"direction:{seed}"), F.col(domain), F.col(id_col).cast("string")), 256)
+    placed = ranked(df.withColumn("__h", h), [domain], [F.col("__h"), F.col(id_col)], "__rn").withColumn("__ahead", F.col("__rn") <= forward)
+    return placed.select(
         *[c for c in df.columns if c not in (left, right)],
         F.when(F.col("__ahead"), left_lang).otherwise(right_lang).alias("source_lang"),
         F.when(F.col("__ahead"), right_lang).otherwise(left_lang).alias("target_lang"),
@@ -122,10 +147,13 @@ def allocate_direction(df: DataFrame, seed: str, id_col: str, forward: int, doma
 def group_split(df: DataFrame, group: str, stratum: str, seed: str, shares: Sequence[tuple[str, float]] = (("train", 0.9), ("validation", 0.05), ("test", 0.05))) -> DataFrame:
     """Groups of each stratum cut into splits by largest remainder in seeded order; rows follow their group.
 
-    The stratum of a group is its sorted set of strata. Only one row per group
-    is ranked, in range-partitioned order per stratum.
+    The stratum of a group is the multiset of its members' strata, such as the
+    directions, which name the language pair. Groups, not rows, are ranked, over
+    all tasks.
     """
-    groups = df.groupBy(group).agg(F.array_join(F.array_sort(F.collect_set(stratum)), "+").alias("__stratum"))
+    members = df.groupBy(group, F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("__s")).agg(F.count("*").alias("__n"))
+    named = F.transform(F.array_sort(F.collect_list(F.struct("__s", "__n"))), lambda m: F.concat(m["__s"], F.lit("*"), m["__n"].cast("string")))
+    groups = members.groupBy(group).agg(F.array_join(named, "+").alias("__stratum"))
     sizes = {r["__stratum"]: r["n"] for r in groups.groupBy("__stratum").agg(F.count("*").alias("n")).collect()}
     cuts = []
     for name, n in sizes.items():
@@ -134,8 +162,7 @@ def group_split(df: DataFrame, group: str, stratum: str, seed: str, shares: Sequ
             cuts.append((name, split, at, at + k))
             at += k
     table = df.sparkSession.createDataFrame(cuts or [("", "", 0, 0)], "__stratum string, split_name string, low long, high long")
-    w = Window.partitionBy("__stratum").orderBy(seeded_hash(seed, group), group)
-    placed = groups.withColumn("__rn", F.row_number().over(w) - 1)
+    placed = ranked(groups.withColumn("__h", seeded_hash(seed, group)), ["__stratum"], [F.col("__h"), F.col(group)], "__rn").withColumn("__rn", F.col("__rn") - 1)
     named = placed.join(F.broadcast(table), (placed["__stratum"] == table["__stratum"]) & (F.col("__rn") >= F.col("low")) & (F.col("__rn") < F.col("high")))
     return df.join(named.select(F.col(group).alias("__g"), "split_name"), F.col(group).eqNullSafe(F.col("__g"))).select(*df.columns, F.col("split_name").alias("assigned_split"))
 

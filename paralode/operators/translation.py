@@ -18,22 +18,45 @@ def _text(c: Column | str) -> Column:
     return F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(""))
 
 
-# Wrappers that models put around their answer, and the flag that tells of each.
-WRAPPERS = (
-    ("removed_thinking_block", r"(?is)<think>.*?</think>"),
-    ("removed_markdown_fence", r"(?is)^\s*```[a-z]*\s*|\s*```\s*$"),
-    ("removed_translation_prefix", r"(?i)^\s*(?:translation|translated text|译文|翻译|คำแปล)\s*[:：]\s*"),
-)
+# Control characters, wrappers and prefixes that models put around their answer.
+ANSWER_CONTROL = r"[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]"
+THINKING = r"(?is)<think>.*?</think>\s*"
+FENCE = r"(?is)^```(?:thai|th)?\s*\n?(.*?)\n?```$"
+PREFIX = r"(?i)^(?:泰语译文|泰文译文|翻译|译文|คำแปลภาษาไทย|คำแปล)\s*[:：]\s*"
+
+
+def _strip(c: Column) -> Column:
+    return F.regexp_replace(c, r"^[\s\p{Z}]+|[\s\p{Z}]+$", "")
 
 
 def clean_output(c: Column | str) -> Column:
-    """Struct (text, flags) of a model's answer without its wrappers."""
-    text = _text(c)
-    flags = []
-    for flag, pattern in WRAPPERS:
-        flags.append(F.when(text.rlike(pattern), F.lit(flag)))
-        text = F.regexp_replace(text, pattern, "")
-    return F.struct(F.regexp_replace(text, r"^\s+|\s+$", "").alias("text"), F.array_compact(F.array(*flags)).alias("flags"))
+    """Struct (text, flags) of a model's answer: control characters, thinking blocks, a fence around all of it and one prefix go."""
+    text = _strip(F.regexp_replace(_text(c), ANSWER_CONTROL, ""))
+    thought = _strip(F.regexp_replace(text, THINKING, ""))
+    fenced = thought.rlike(FENCE)
+    bare = F.when(fenced, _strip(F.regexp_replace(thought, FENCE, "$1"))).otherwise(thought)
+    clean = _strip(F.regexp_replace(bare, PREFIX, ""))
+    flags = [
+        F.when(thought != text, F.lit("removed_thinking_block")),
+        F.when(fenced, F.lit("removed_markdown_fence")),
+        F.when(clean != bare, F.lit("removed_translation_prefix")),
+    ]
+    return F.struct(clean.alias("text"), F.array_compact(F.array(*flags)).alias("flags"))
+
+
+# Marks of a prompt that leaked into an answer.
+PROMPT_LEAKS = (
+    "You must retain an equal number",
+    "Do not omit, summarize, explain",
+    "only output the translation",
+    r"separators? in the translation",
+    r"<SEP\w*>",
+)
+
+
+def leaks_prompt(c: Column | str) -> Column:
+    """Whether an answer repeats its instructions; null does not."""
+    return _text(c).rlike("(?i)(?:" + "|".join(PROMPT_LEAKS) + ")")
 
 
 def split_answers(answer: Column | str, ids: Column | str, separator: str = "<SEP>") -> Column:
@@ -101,10 +124,12 @@ def chunk_reason(text: Column | str, lang: Column | str) -> Column:
     )
 
 
-def translation_method(method: Column | str) -> Column:
-    """``machine`` for what names a machine, a model or MT, else ``human``."""
-    m = F.lower(_text(method))
-    return F.when(m.rlike("machine|llm|mt$|^mt|gpt|qwen|nllb|neural"), "machine").otherwise("human")
+def translation_method(method: Column | str, origin: Column | str, dataset: Column | str) -> Column:
+    """A known method as it stands, else ``llm_mt`` for an origin or a dataset of machine translation, else ``human``."""
+    # The known methods, and what origin and dataset name as machine translation.
+    known = F.col(method) if isinstance(method, str) else method
+    machine = F.lower(_text(origin)).contains("machine_translation") | F.lower(_text(dataset)).rlike("tencent|baidu")
+    return F.when(known.isin("human", "google_mt", "llm_mt"), known).when(machine, "llm_mt").otherwise("human")
 
 
 def messages(system: Column | str, user: Column, assistant: Column | None = None) -> Column:

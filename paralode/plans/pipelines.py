@@ -68,7 +68,7 @@ def prepare_sft(records: DataFrame, seed: str = "20260824", shares: Sequence[tup
     return {"accepted": accepted, "rejected": rejected}
 
 
-def mono_corpus(pages: DataFrame, least: int = 10, least_share: float = 0.5, most: int | None = 100_000) -> dict[str, DataFrame]:
+def mono_corpus(pages: DataFrame, least: int = 10, least_share: float = 0.5, most: int | None = None) -> dict[str, DataFrame]:
     """Paragraphs of wiki pages as a monolingual corpus: accepted once per text in page order, rejected with a reason."""
     parts = pages.select("page_id", "title", F.posexplode(urls.paragraphs(wiki.clean_wikitext("text"))).alias("paragraph", "text"))
     judged = cut(parts.withColumn("reason", gates.mono_gate("text", least, least_share)).withColumn("text_sha256", F.sha2("text", 256)))

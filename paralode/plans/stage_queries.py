@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from paralode.catalog import register, table
 from paralode.functions import scripts, urls
-from paralode.operators import aggregate, joins, translation
+from paralode.operators import joins, translation
 from paralode.plans import pipelines
 from paralode.plans.gate_queries import LIMITS, _POOL_GATE
 from paralode.plans.text_queries import WORD, n_of
@@ -121,10 +121,12 @@ def document_counts(spark: SparkSession, d: str) -> DataFrame:
 
 @register(
     "c30_translation_methods",
-    "SELECT translation_method, CASE WHEN regexp_matches(lower(coalesce(translation_method, '')), 'machine|llm|mt$|^mt|gpt|qwen|nllb|neural') THEN 'machine' ELSE 'human' END AS method, count(*) AS n FROM zh_en GROUP BY ALL",
+    """SELECT id, loaded_at, CASE WHEN translation_method = 'human' OR translation_method = 'google_mt' OR translation_method = 'llm_mt' THEN translation_method
+ WHEN strpos(lower(coalesce(data_origin, '')), 'machine_translation') > 0 THEN 'llm_mt' WHEN strpos(lower(coalesce(dataset_name, '')), 'tencent') > 0 THEN 'llm_mt'
+ WHEN strpos(lower(coalesce(dataset_name, '')), 'baidu') > 0 THEN 'llm_mt' ELSE 'human' END AS method FROM zh_en""",
 )
 def translation_methods(spark: SparkSession, d: str) -> DataFrame:
-    return aggregate.counter(table(spark, d, "zh_en").select("translation_method", translation.translation_method("translation_method").alias("method")), "translation_method", "method")
+    return table(spark, d, "zh_en").select("id", "loaded_at", translation.translation_method("translation_method", "data_origin", "dataset_name").alias("method"))
 
 
 @register(

@@ -20,6 +20,7 @@ def local_session(cores: int | str = 8, app: str = "paralode", **conf: str) -> S
         .config("spark.driver.memory", os.environ.get("PARALODE_DRIVER_MEMORY", "8g"))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)
@@ -29,11 +30,13 @@ def local_session(cores: int | str = 8, app: str = "paralode", **conf: str) -> S
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use spark.checkpoint.dir as the cluster names it; only where it is unset take a local folder."""
+    """Use spark.checkpoint.dir as the cluster names it; where it is unset, a local folder in local mode and an error elsewhere."""
     context = spark.sparkContext
     if context.getCheckpointDir():
         return
     named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not (context.master.startswith("local[") or context.master == "local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     context.setCheckpointDir(named or tempfile.mkdtemp(prefix="paralode-checkpoint-"))
 
 

@@ -38,10 +38,17 @@ def write_atomic(outputs: dict[str, DataFrame], root: str, fmt: str = "parquet",
         for name, df in outputs.items():
             df.write.options(**options).format(fmt).save(f"{stage}/{name}")
         _, p_root = _fs(spark, root)
-        if fs.exists(p_root):
-            fs.delete(p_root, True)
+        _, p_old = _fs(spark, f"{stage}.old")
+        # The old output is moved aside and deleted only when the new one stands in its place.
+        replaced = fs.exists(p_root)
+        if replaced and not fs.rename(p_root, p_old):
+            raise OSError(f"could not move {root} aside")
         if not fs.rename(p_stage, p_root):
+            if replaced:
+                fs.rename(p_old, p_root)
             raise OSError(f"could not move {stage} to {root}")
+        if replaced:
+            fs.delete(p_old, True)
     finally:
         if fs.exists(p_stage):
             fs.delete(p_stage, True)

@@ -57,7 +57,7 @@ def test_han_classes(spark):
 def test_numbers_and_sentences(spark):
     assert run(spark, F.array_join(scripts.numbers("c"), " "), ["1,234 and ５６％ x7 -8.5 7", None]) == ["-8.5 1234 56% 7", ""]
     assert run(spark, scripts.chinese_sentences("c"), ["一。二！ 三", None]) == [["一。", "二！", "三"], []]
-    assert run(spark, scripts.english_sentences("c"), ["One. Two? \"Three\" e.g. four"]) == [["One.", "Two?", "\"Three\" e.g. four"]]
+    assert run(spark, scripts.english_sentences("c", 1), ["One. Two? \"Three\" e.g. four"]) == [["One.", "Two?", "\"Three\" e.g. four"]]
     pieces = run(spark, scripts.split_codepoints("c", 10), ["abcdefgh, ijklmnopqrstuv", ""])
     assert pieces == [["abcdefgh,", "ijklmnopqr", "stuv"], []]
     assert run(spark, scripts.repeat_score("c", 3), ["abcabc", "ab", None]) == [0.25, 0.0, 0.0]
@@ -92,9 +92,39 @@ def test_wiki(spark):
     assert run(spark, urls.paragraphs("c"), ["a\nb\n\n  \nc", None]) == [["a b", "c"], []]
 
 
-@pytest.mark.parametrize("opener, closer, source, left", [("{{", "}}", "a{{b{{c}}d}}e", "ae"), ("{{", "}}", "a{{b", "a{{b"), ("{|", "|}", "x{|y|}z|}", "xz|}")])
-def test_balanced(opener, closer, source, left):
-    assert wiki.drop_balanced(source, opener, closer) == left
+@pytest.mark.parametrize(
+    "markup, text",
+    [
+        ("a{{b{{c}}d}}e", "ae"), ("a{{b", "a"), ("x{|y|}z|}", "xz|}"), ("{{a|}}b", "b"), ("[[A|b|c]] [[#x]] [[:y]] [[B#s]]", "c   B"),
+        ("[[File:x|thumb|[[A]] cap]]", " cap]]"), ("[http://x label] [http://y] http://z q", "label   q"), ("<poem>x</poem><code>y</code><nowiki>k</nowiki>", "k"),
+        ("* ''i'' t\n== H ==\n| cell\n! h\nz &amp; <br/>q<ref name=a /> w<ref>zz</ref>", "i t\n\nz & q w"), ("[[u", "[[u"), ("__NOTOC__a<!-- c\nd -->", "a"),
+    ],
+)
+def test_wiki_marks(markup, text):
+    assert wiki.plain_text(markup) == text
+
+
+def test_sentences_of_pages(spark):
+    text = "The first one has five words. Too short. \"This one has five words\"\n\nAnother line of five words here"
+    assert run(spark, scripts.english_sentences("c"), [text, None]) == [["The first one has five words.", '"This one has five words"', "Another line of five words here"], []]
+
+
+def test_chunk_sanitiser(spark):
+    from paralode.functions.normalize import sanitize_chunk
+
+    cases = {
+        "One > Two": "One Two", "It ended.' Then more": "It ended. Then more", "See (https://a.example/x) now": "See now", "我们 项目办公室 电话": "我们", "正文 附件：表": "正文",
+        "Plan it. The Secretary of State said:": "Plan it.", "destiny Education Secretary": "destiny. Education Secretary", "website: Oak National Academy": "website. Oak National Academy",
+    }
+    assert run(spark, sanitize_chunk("c"), list(cases)) == list(cases.values())
+
+
+def test_link_patterns(spark):
+    rows = ["https://a.b/news/1", "https://a.b/news/video", "https://c.d/x", None]
+    assert run(spark, urls.passes_patterns("c", allow=r"a\.b/news", exclude="video"), rows) == [True, False, False, False]
+    page = "https://www.a.b/government/publications/x?y=1"
+    links = F.array(*[F.lit(x) for x in ("/government/publications/x/one", "/government/publications/x", "/government/publications/x/two.pdf", "https://www.a.b/government/publications/x/one#f", "https://e.f/government/publications/x/q")])
+    assert run(spark, urls.attached_pages(links, F.col("c"), "/government/(?:publications|statistics)/[^/?#]+"), [page, "https://www.a.b/other"]) == [["https://www.a.b/government/publications/x/one"], []]
 
 
 def test_page_addresses_of_all_titles(spark, tmp_path):

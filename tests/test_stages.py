@@ -18,7 +18,7 @@ def one(spark, column, *values):
 
 
 def test_outputs(spark):
-    got = one(spark, tr.clean_output("c0"), "<think>hm</think>\n```text\n译文：你好\n```")
+    got = one(spark, tr.clean_output("c0"), "<think>hm</think>\n```thai\n译文：你好\n```")
     assert got["text"] == "你好" and got["flags"] == ["removed_thinking_block", "removed_markdown_fence", "removed_translation_prefix"]
     parts = one(spark, tr.split_answers("c0", F.array(F.lit("a"), F.lit("b"))), "one <SEP> two")
     assert [(p["id"], p["text"]) for p in parts] == [("a", "one"), ("b", "two")]
