@@ -110,13 +110,13 @@ def split_overlaps(
     texts = cut(
         rows.groupBy("class")
         .agg(F.max((F.col("side") == 1).cast("int")).alias("in_train"), F.max((F.col("side") == 2).cast("int")).alias("in_held"), F.first("form").alias("form"))
-        .withColumn("n", F.char_length("form"))
+        .select("class", "in_train", "in_held", "form", F.char_length("form").alias("n"), F.monotonically_increasing_id().alias("id"))
     )
 
     def known(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = []
-            for key, n, form in zip(pdf["class"], pdf["n"], pdf["form"]):
+            for key, n, form in zip(pdf["id"], pdf["n"], pdf["form"]):
                 codes = _letters(form)
                 level, width = places(n)
                 for q in {piece_length(m, max_edits) for m in range(n - int(max_edits * n), n + most_edits(n, max_edits) + 1)} - {0}:
@@ -126,32 +126,35 @@ def split_overlaps(
                     first = np.unique(at, return_index=True)[1]
                     last = len(at) - 1 - np.unique(at[::-1], return_index=True)[1]
                     rows.append((key, n, level, width, h[first], first.astype(np.int32), last.astype(np.int32)))
-            yield pd.DataFrame(rows, columns=["class", "n", "level", "width", "gram", "first", "last"])
+            yield pd.DataFrame(rows, columns=["id", "n", "level", "width", "gram", "first", "last"])
 
     def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = []
-            for key, n, form in zip(pdf["class"], pdf["n"], pdf["form"]):
+            for key, n, form in zip(pdf["id"], pdf["n"], pdf["form"]):
                 q, (level, width) = piece_length(n, max_edits), places(n)
                 if most_edits(n, max_edits):
                     rows.append((key, n, level, width, q, most_edits(n, max_edits) + 1, gram_hashes(_letters(form), q)[::q]))
-            yield pd.DataFrame(rows, columns=["class", "n", "level", "width", "q", "n_pieces", "gram"])
+            yield pd.DataFrame(rows, columns=["id", "n", "level", "width", "q", "n_pieces", "gram"])
 
     def bits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             words = np.array([fingerprint(_letters(t)) for t in pdf["form"]], dtype=np.int64).reshape(-1, WORDS)
-            yield pd.DataFrame({"class": pdf["class"], "n": pdf["n"], **{f"w{k}": words[:, k] for k in range(WORDS)}})
-
-    train_rows = texts.filter("in_train = 1").select("class", "n", "form").mapInPandas(known, "class binary, n int, level int, width int, gram array<long>, first array<int>, last array<int>")
-    a = cut(train_rows).select(F.col("class").alias("class_a"), F.col("n").alias("n_a"), "level", "width", F.explode(F.arrays_zip("gram", "first", "last")).alias("g"))
-    a = a.select("class_a", "n_a", "level", F.expr("g.first div width").cast("int").alias("stretch"), "g.gram", "g.first", "g.last")
-    rare = a.groupBy("gram", "level", "stretch").agg(F.count("*").alias("n_known"))
-    held_rows = texts.filter("in_held = 1").select("class", "n", "form").mapInPandas(pieces, "class binary, n int, level int, width int, q int, n_pieces int, gram array<long>")
-    b = held_rows.select("class", "n", "level", "width", "n_pieces", "q", F.posexplode("gram").alias("k", "gram")).withColumn("at", F.col("k") * F.col("q"))
-    b = b.withColumn("stretch", F.expr("at div width").cast("int")).join(rare.hint("shuffle_hash"), ["gram", "level", "stretch"], "left")
-    b = b.groupBy("class", "n", "n_pieces").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n_known", F.lit(0)).alias("n_known"), "at", "gram"))).alias("all"))
+            yield pd.DataFrame({"id": pdf["id"], "n": pdf["n"], **{f"w{k}": words[:, k] for k in range(WORDS)}})
+
+    # Gram, level and stretch are one hash in the join, first and last place one number: these rows are the bulk of the work.
+    key = F.xxhash64("gram", "level", "stretch")
+    train_rows = texts.filter("in_train = 1").select("id", "n", "form").mapInPandas(known, "id long, n int, level int, width int, gram array<long>, first array<int>, last array<int>")
+    a = cut(train_rows).select(F.col("id").alias("id_a"), F.col("n").alias("n_a"), "level", "width", F.explode(F.arrays_zip("gram", "first", "last")).alias("g"))
+    a = a.select("id_a", "n_a", "level", F.expr("g.first div width").cast("int").alias("stretch"), "g.gram", F.shiftleft(F.col("g.first").cast("long"), 32).bitwiseOR(F.col("g.last")).alias("span"))
+    a = a.select("id_a", "n_a", key.alias("key"), "span")
+    rare = a.groupBy("key").agg(F.count("*").alias("n_known"))
+    held_rows = texts.filter("in_held = 1").select("id", "n", "form").mapInPandas(pieces, "id long, n int, level int, width int, q int, n_pieces int, gram array<long>")
+    b = held_rows.select("id", "n", "level", "width", "n_pieces", "q", F.posexplode("gram").alias("k", "gram")).withColumn("at", F.col("k") * F.col("q"))
+    b = b.withColumn("stretch", F.expr("at div width").cast("int")).withColumn("key", key).join(rare.hint("shuffle_hash"), "key", "left")
+    b = b.groupBy("id", "n", "n_pieces").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n_known", F.lit(0)).alias("n_known"), "at", "gram"))).alias("all"))
     chosen = F.array_sort(F.transform(F.slice("all", F.lit(1), F.col("n_pieces")), lambda x: F.struct(x["at"].alias("at"), x["gram"].alias("gram"))))
-    b = b.select(F.col("class").alias("class_b"), F.col("n").alias("n_b"), F.posexplode(chosen).alias("i", "p")).select("class_b", "n_b", "i", "p.at", "p.gram")
+    b = b.select(F.col("id").alias("id_b"), F.col("n").alias("n_b"), F.posexplode(chosen).alias("i", "p")).select("id_b", "n_b", "i", "p.at", "p.gram")
     # Sizes of tables cut by a checkpoint are estimates that a broadcast must not rest on: the joins name their kind.
     # Lengths of two levels may lie within the bound.
     level = lambda n: F.floor(F.log2(n) + 1e-12).cast("int")
@@ -160,25 +163,26 @@ def split_overlaps(
     b = b.withColumn("level", F.explode(F.sequence(level(shortest), level(longest))))
     width = F.greatest(F.lit(1), F.pow(F.lit(2), F.col("level") - 3).cast("int"))
     b = b.withColumn("stretch", F.explode(F.sequence(F.floor(F.greatest(F.col("at") - F.col("i"), F.lit(0)) / width).cast("int"), F.floor((F.col("at") + F.col("i")) / width).cast("int"))))
+    b = b.select("id_b", "n_b", "i", "at", key.alias("key"))
     limit = F.floor(max_edits * F.greatest("n_a", "n_b")).cast("int")
     gap = F.col("n_a") - F.col("n_b")
     low = F.greatest(-F.col("i"), gap - limit + F.col("i"))
     high = F.least(F.col("i"), gap + limit - F.col("i"))
     shared = (
-        a.hint("merge").join(b, ["gram", "level", "stretch"])
-        .filter((F.col("class_a") != F.col("class_b")) & (F.col("i") <= limit) & (F.abs(gap) <= limit))
-        .filter((F.col("first") <= F.col("at") + high) & (F.col("last") >= F.col("at") + low) & (low <= high))
-        .select("class_a", "class_b")
+        a.hint("merge").join(b, "key")
+        .filter((F.col("id_a") != F.col("id_b")) & (F.col("i") <= limit) & (F.abs(gap) <= limit))
+        .filter((F.shiftright("span", 32) <= F.col("at") + high) & (F.col("span").bitwiseAND((1 << 32) - 1) >= F.col("at") + low) & (low <= high))
+        .select("id_a", "id_b")
         .distinct()
     )
-    coded = cut(texts.select("class", "n", "form").mapInPandas(bits, "class binary, n int, " + ", ".join(f"w{k} long" for k in range(WORDS))))
+    coded = cut(texts.select("id", "n", "form").mapInPandas(bits, "id long, n int, " + ", ".join(f"w{k} long" for k in range(WORDS))))
     side_of = lambda s: coded.select(*[F.col(c).alias(f"{c}_{s}") for c in coded.columns])
     apart = lambda words: sum((F.bit_count(F.col(f"w{k}_a").bitwiseXOR(F.col(f"w{k}_b"))) for k in words), F.lit(0))
     within = (apart(range(LETTER_WORDS)) + F.abs(gap) <= 2 * limit) & (apart(range(LETTER_WORDS, WORDS)) <= 4 * limit)
-    near = shared.join(side_of("a").hint("merge"), "class_a").join(side_of("b").hint("merge"), "class_b").filter(within).select("class_a", "class_b", limit.alias("limit"))
+    near = shared.join(side_of("a").hint("merge"), "id_a").join(side_of("b").hint("merge"), "id_b").filter(within).select("id_a", "id_b", limit.alias("limit"))
     checked = (
-        near.join(texts.select(F.col("class").alias("class_a"), F.col("form").alias("form_a")).hint("merge"), "class_a")
-        .join(texts.select(F.col("class").alias("class_b"), F.col("form").alias("form_b")).hint("merge"), "class_b")
+        near.join(texts.select(F.col("id").alias("id_a"), F.col("class").alias("class_a"), F.col("form").alias("form_a")).hint("merge"), "id_a")
+        .join(texts.select(F.col("id").alias("id_b"), F.col("class").alias("class_b"), F.col("form").alias("form_b")).hint("merge"), "id_b")
         # Under a threshold only the band that can hold the distance is filled; -1 is beyond it.
         .withColumn("edits", F.call_function("levenshtein", F.col("form_a"), F.col("form_b"), F.col("limit")))
         .filter("edits >= 0")
